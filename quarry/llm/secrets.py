@@ -248,10 +248,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(col):
         return F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
+    def counted(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     of_base = F.filter("spans", lambda s: s["kind"].isin(base))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base
-    ]
+    counts = [counted(k) for k in base]
     return found.select(
         "doc_id", *counts, F.sha2(joined(of_base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )
