@@ -39,7 +39,7 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         tail = b""
-        if self.cuts and word[-1] in ".," and (core := word.rstrip(".,")) and core[-1].isalpha() and word[len(core) :] in self.tails:
+        if self.cuts and word[-1] in ".," and (core := word.rstrip(".,")) and core[-1].lower().isalpha() and word[len(core) :] in self.tails:
             word, tail = core, self.tails[word[len(core) :]]
         if self.plain and word.isascii() and word.isalpha():
             word = word.lower()
