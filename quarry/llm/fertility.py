@@ -27,7 +27,7 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 #: Script: least and most characters per token, most byte tokens of all tokens, least bits of entropy per token
 #: as a share of the most that so many tokens can have.
 BANDS = {
-    "latin": (1.45, 6.5, 0.10, 0.55),
+    "latin": (1.45, 6.5, 0.10, 0.60),
     "cyrillic": (1.2, 6.5, 0.20, 0.50),
     "greek": (0.6, 4.0, 0.60, 0.40),
     "cjk": (0.3, 2.5, 0.80, 0.40),
