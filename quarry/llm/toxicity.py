@@ -3,7 +3,8 @@
 A text is a chain of words with two states, clean and toxic. The field has weights for hashed features of each
 word (the word, its beginnings and ends, its shape) and for the transitions between states. Labels mark whole
 documents; words become labelled through units (words and beginnings of words) that stand in toxic documents
-far more than in clean ones: inside a toxic document such words are toxic, all other words are clean.
+far more than in clean ones: inside a toxic document such words are toxic, all other words are clean. Copies of
+one document count once, or every rare word of a toxic text that was copied would look toxic.
 Forward-backward gives every word's marginal, from which come the offending offsets and, through a logistic
 function fitted on the documents of the sample, the document's score.
 
@@ -34,8 +35,11 @@ from .common import table
 SAMPLE, SAMPLE_CHARS = 1500, 20_000
 #: Hashed features; words of a training chain; chains kept of clean text for each chain with a toxic word.
 SIZE, CHAIN, CLEAN_CHAINS = 1 << 17, 24, 2
-#: A unit marks toxic words if it stands in this many toxic documents, this many times as often as in clean ones.
-LEAST_DOCS, LEAST_RATIO = 3, 12.0
+#: A unit marks toxic words if it stands in this many toxic documents, this many times as often as in clean ones,
+#: and its counts are less likely by chance than exp(-LEAST_NATS).
+LEAST_DOCS, LEAST_RATIO, LEAST_NATS = 3, 12.0, 8.0
+#: Copies in the sample share one of so many least hashes of runs of so many words.
+HASHES, RUN = 8, 5
 WORD = re.compile(r"\w+")
 CACHED_WORDS = 400_000
 SPANS = "array<struct<start:bigint,stop:bigint,p:double>>"
@@ -115,14 +119,44 @@ def sample(docs: DataFrame, labels: DataFrame, keep: Column, size: int) -> list[
     return rows
 
 
+def without_copies(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """The first of the texts with one label that share a least hash of their runs of words, directly or by others."""
+    root = list(range(len(rows)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    factors = np.random.default_rng(0).integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    seen: dict[tuple, int] = {}
+    for i, (text, label) in enumerate(rows):
+        words = WORD.findall(text.lower())
+        runs = [" ".join(words[k : k + RUN]) for k in range(max(1, len(words) - RUN + 1))]
+        hashes = np.fromiter((zlib.crc32(r.encode()) for r in runs), np.uint64, len(runs)) + np.uint64(1)
+        for k, f in enumerate(factors):
+            first = seen.setdefault((label, k, int((hashes * f).min())), i)
+            a, b = find(first), find(i)
+            root[max(a, b)] = min(a, b)
+    return [r for i, r in enumerate(rows) if find(i) == i]
+
+
+def surprise(n: int, total: int, rate: float) -> float:
+    """Nats by which n hits of total are beyond what the rate gives, by the large-deviation bound."""
+    p = n / total
+    rest = (1 - p) * math.log((1 - p) / (1 - rate)) if p < 1 else 0.0
+    return total * (p * math.log(p / rate) + rest) if p > rate else 0.0
+
+
 def toxic_units(rows: list[tuple[str, int]]) -> set[str]:
     counts, docs = (Counter(), Counter()), [0, 0]
-    for text, toxic in rows:
+    for text, toxic in without_copies(rows):
         docs[toxic] += 1
         counts[toxic].update({u for w in set(WORD.findall(text)) for u in units(w)})
     clean, bad = counts
-    rate = (docs[0] + 1) / (docs[1] + 1)
-    return {u for u, n in bad.items() if n >= LEAST_DOCS and n * rate >= LEAST_RATIO * (clean[u] + 0.5 * rate)}
+    rate, share = (docs[0] + 1) / (docs[1] + 1), (docs[1] + 1) / (sum(docs) + 2)
+    frequent = {u: n for u, n in bad.items() if n >= LEAST_DOCS and n * rate >= LEAST_RATIO * (clean[u] + 0.5 * rate)}
+    return {u for u, n in frequent.items() if surprise(n, n + clean[u], share) >= LEAST_NATS}
 
 
 def chains(rows: list[tuple[str, int]], marked: set[str]) -> list[tuple[list[str], list[int]]]:
