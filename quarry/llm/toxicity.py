@@ -149,13 +149,20 @@ def surprise(n: int, total: int, rate: float) -> float:
 
 
 def toxic_units(rows: list[tuple[str, int]]) -> set[str]:
-    counts, docs = (Counter(), Counter()), [0, 0]
-    for text, toxic in without_copies(rows):
-        docs[toxic] += 1
-        counts[toxic].update({u for w in set(WORD.findall(text)) for u in units(w)})
-    clean, bad = counts
+    docs = [sum(y == label for _, y in rows) for label in (0, 1)]
+
+    def counted(label: int, among: set[str] | None = None) -> Counter:
+        out = Counter()
+        for text, toxic in rows:
+            if toxic == label:
+                found = {u for w in set(WORD.findall(text)) for u in units(w)}
+                out.update(found if among is None else found & among)
+        return out
+
+    bad = {u: n for u, n in counted(1).items() if n >= LEAST_DOCS}
+    clean = counted(0, set(bad))  # only these: the driver need not hold the words of clean texts
     rate, share = (docs[0] + 1) / (docs[1] + 1), (docs[1] + 1) / (sum(docs) + 2)
-    frequent = {u: n for u, n in bad.items() if n >= LEAST_DOCS and n * rate >= LEAST_RATIO * (clean[u] + 0.5 * rate)}
+    frequent = {u: n for u, n in bad.items() if n * rate >= LEAST_RATIO * (clean[u] + 0.5 * rate)}
     return {u for u, n in frequent.items() if surprise(n, n + clean[u], share) >= LEAST_NATS}
 
 
@@ -231,7 +238,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
 
 
 def fit(docs: DataFrame, labels: DataFrame, keep: Column, size: int = SAMPLE) -> Model:
-    rows = sample(docs, labels, keep, size)
+    rows = without_copies(sample(docs, labels, keep, size))
     if len({t for _, t in rows}) < 2 or not (marked := toxic_units(rows)):
         return Model(np.zeros(SIZE), np.zeros((2, 2)), (0.0, -3.0))
     model = fit_field(chains(rows, marked))
