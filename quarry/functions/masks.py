@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType
 
 
 def runs_of(text: str) -> list[int]:
@@ -59,13 +60,13 @@ def nearest(mask: np.ndarray, height: int, width: int) -> np.ndarray:
     return mask[np.ix_(rows, columns)]
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def mask_area(text: pd.Series) -> pd.Series:
     """Pixels inside; null masks have none to count and stay null."""
     return text.map(lambda t: sum(runs_of(t)[1::2]), na_action="ignore").astype("Int64")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def edit_region(text: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """O-45: row by row, 0 inside the mask and 255 outside; null where any input is null."""
     def one(t, h, w):
@@ -74,7 +75,7 @@ def edit_region(text: pd.Series, height: pd.Series, width: pd.Series) -> pd.Seri
     return pd.Series([one(*x) for x in zip(text, height, width)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def encode_mask(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """O-44: rows of zero and other bytes as run-length text."""
     def one(p, h, w):
@@ -83,7 +84,7 @@ def encode_mask(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.Se
     return pd.Series([one(*x) for x in zip(pixels, height, width)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def resize_mask(text: pd.Series, height: pd.Series, width: pd.Series, new_height: pd.Series, new_width: pd.Series) -> pd.Series:
     """O-46: by nearest pixel."""
     def one(t, h, w, h2, w2):
@@ -92,7 +93,7 @@ def resize_mask(text: pd.Series, height: pd.Series, width: pd.Series, new_height
     return pd.Series([one(*x) for x in zip(text, height, width, new_height, new_width)], dtype=object)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def with_alpha(rgb: pd.Series, region: pd.Series) -> pd.Series:
     """O-47: RGB bytes and one alpha byte a pixel as RGBA bytes."""
     def one(p, a):
