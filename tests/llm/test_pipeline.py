@@ -13,3 +13,48 @@ def test_stages(spark, sf):
     mixed = corpus_pipeline.mix_sources(spark, clean, sf)
     assert mixed.select("doc_id").distinct().count() == clean.count()
     assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+LEAK = "the quick brown fox jumps over the lazy dog while seven wizards quietly mix strange potions"
+#: Columns of documents, and names that the stages use themselves.
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double, count long, component_id long, tokens long, place long, block long, weight double, item_id long, start long"
+
+
+def _folder(spark, folder):
+    """Labels with nulls and without toxic words, and a benchmark with a null, a repeated and an empty item."""
+    labels = [(1, None, 0), (2, 1, None), (None, None, None), (1, 0, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    items = [(1, LEAK), (1, LEAK), (2, None), (None, ""), (None, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def _docs(spark, rows):
+    width = len(COLUMNS.split(","))
+    return spark.createDataFrame([(i, t, None, s, *[None] * (width - 4)) for i, t, s in rows], COLUMNS)
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    folder = _folder(spark, tmp_path)
+    rows = [(7, None, None), (8, "", "a"), (3, "w " * 40_000, "a"), (4, "one two three four", "b"), (4, "one two three four", "b"), (5, "one two three four", "b"), (6, f"Read: {LEAK.upper()}!", None), (None, "a text without any id", "a")]
+    docs = _docs(spark, rows)
+    ids = lambda df: sorted((r.doc_id for r in df.select("doc_id").collect()), key=lambda i: (i is not None, i))
+    kept = corpus_pipeline.drop_toxic(spark, docs, folder)
+    assert kept.columns == docs.columns and ids(kept) == ids(docs)  # no word is known as toxic
+    kept = corpus_pipeline.drop_near_duplicates(spark, kept, folder)
+    # null and empty texts are one group, equal texts another; the row without an id is alone
+    assert kept.columns == docs.columns and ids(kept) == [None, 3, 4, 6, 7]
+    kept = corpus_pipeline.drop_leaks(spark, kept, folder)
+    assert kept.columns == docs.columns and ids(kept) == [None, 3, 4, 7]
+    mixed = corpus_pipeline.mix_sources(spark, kept, folder)
+    assert mixed.columns == docs.columns and set(ids(mixed)) == {None, 3, 4, 7}
+    written = corpus_pipeline.write_tokens(spark, mixed, folder)
+    assert ids(written) == ids(mixed)
+
+
+def test_stages_on_no_rows(spark, tmp_path):
+    folder, docs = _folder(spark, tmp_path), _docs(spark, [])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert out.count() == 0, name
+        assert name == "token_output" or out.columns == docs.columns
