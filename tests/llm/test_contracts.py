@@ -1,5 +1,7 @@
 """Queries against plain versions over the smallest whole tables, and the stated cases over small tables."""
 
+import math
+import random
 import struct
 import zlib
 
@@ -120,3 +122,46 @@ def test_classifier_cases(spark, odd):
     assert len(out) == len(ODD) and all(0 <= r.score <= 1 for r in out)
     model = toxicity.fit(odd, labels.limit(0), F.lit(True))
     assert odd.select(toxicity.toxicity_column(F.col("text"), spark, model).alias("r")).where("r.score < 0.5").count() == len(ODD)
+
+
+def test_leak_query_against_plain_distances(spark, tmp_path):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(60)]
+    said = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(k, said(14)) for k in range(5)]
+    docs = []
+    for k in range(40):
+        item, text = items[k % 5][1], list(items[k % 5][1])
+        for _ in range(k // 4):  # none to nine edits
+            at = rng.randrange(len(text))
+            text[at : at + 1] = rng.choice(([], ["z"], [text[at], "z"]))
+        docs.append((k, f"{said(9)} {''.join(text)} {said(9)}" if item else ""))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {(r.doc_id, r.item_id): r.distance for r in decontaminate.op1_decontaminate(spark, str(tmp_path)).collect()}
+    plain = {(d, i): brute.nearest(item, text) for d, text in docs for i, item in items}
+    budgets = {i: int(decontaminate.RATE * len(item)) for i, item in items}
+    expected = {pair: n for pair, n in plain.items() if n <= budgets[pair[1]]}
+    assert found == expected and 0 < len(expected) < len(docs)
+
+
+def test_sharding_cases(spark):
+    rows = spark.createDataFrame([(None, 1, "a"), ("", 2, "b"), ("k", 3, "c"), ("k", 3, "c")], "key string, slot int, shard string")
+    placed = sharding.place_rows(rows, F.col("key"), sharding.shard_names())
+    assert placed.columns == ["key", "slot", "shard", "_place"]
+    places = [(r.key, r._place.shard) for r in placed.orderBy("slot").collect()]
+    assert len(places) == 4 and places[0][1] == places[1][1] and places[2] == places[3]
+    assert sharding.place_rows(rows.limit(0), F.col("key"), sharding.shard_names()).count() == 0
+    # one shard more: the slots that change hands are few, and shards stay even
+    old, new = (sharding.lookup_table(sharding.shard_names(n)) for n in (64, 65))
+    assert sum(a != b for a, b in zip(old, new)) < 0.1 * len(old)
+    sizes = [new.count(k) for k in range(65)]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_mixing_to_entropy(spark):
+    rows = [(k, "w " * 10, "abc"[(k > 50) + (k > 85)]) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for bits in (1.45, 1.55):  # shares as they are have 1.42 bits, equal weights 1.58
+        mixed = mixing.mix(docs, mixing.Target(entropy=bits, repetition=None)).select("source", "_mix.weight").distinct().collect()
+        assert len(mixed) == 3 and abs(-sum(r.weight * math.log2(r.weight) for r in mixed) - bits) < 1e-6
