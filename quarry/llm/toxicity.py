@@ -35,6 +35,8 @@ from .common import table
 SAMPLE, SAMPLE_CHARS = 1500, 20_000
 #: Hashed features; words of a training chain; chains kept of clean text for each chain with a toxic word.
 SIZE, CHAIN, CLEAN_CHAINS = 1 << 17, 24, 2
+#: Chains that the fit holds in floating point at once.
+FIT_CHAINS = 2048
 #: A unit marks toxic words if it stands in this many toxic documents, this many times as often as in clean ones,
 #: and its counts are less likely by chance than exp(-LEAST_NATS).
 LEAST_DOCS, LEAST_RATIO, LEAST_NATS = 3, 12.0, 8.0
@@ -178,19 +180,44 @@ def chains(rows: list[tuple[str, int]], marked: set[str]) -> list[tuple[list[str
     return toxic + clean[::step]
 
 
+def expected(emission: np.ndarray, moves: np.ndarray, tags: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward over chains of equal length: tag less marginal of each word, and expected transitions."""
+    n, longest = emission.shape
+    score = np.zeros((n, longest, 2))
+    score[:, :, 1] = emission
+    ahead, back = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+    ahead[:, 0] = score[:, 0]
+    for k in range(1, longest):
+        new = np.logaddexp(ahead[:, k - 1, :1] + moves[0], ahead[:, k - 1, 1:] + moves[1]) + score[:, k]
+        ahead[:, k] = np.where(on[:, k, None], new, ahead[:, k - 1])
+    for k in range(longest - 2, -1, -1):
+        s = score[:, k + 1] + back[:, k + 1]
+        new = np.logaddexp(moves[:, 0] + s[:, :1], moves[:, 1] + s[:, 1:])
+        back[:, k] = np.where(on[:, k + 1, None], new, 0.0)
+    total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
+    p = np.exp(ahead + back - total[:, None, None])
+    s = (score + back)[:, 1:, None, :] + ahead[:, :-1, :, None] + moves - total[:, None, None, None]
+    return np.where(on, tags - p[:, :, 1], 0.0), (np.exp(s) * on[:, 1:, None, None]).sum(axis=(0, 1))
+
+
 def fit_field(data: list[tuple[list[str], list[int]]], rounds: int = 60, rate: float = 0.15, decay: float = 1e-6) -> Model:
-    """Full-batch Adam on the likelihood of the tags; all chains advance together, one word at a time."""
+    """Full-batch Adam on the likelihood of the tags; FIT_CHAINS chains advance together, one word at a time."""
     n, longest, wide = len(data), CHAIN, 9
-    index = np.full((n, longest, wide), SIZE, np.int64)
-    tags, on = np.zeros((n, longest), np.int64), np.zeros((n, longest), bool)
-    known: dict[str, list[int]] = {}
+    # place of each word of a chain in the vocabulary, whose last entry has no features
+    place = np.full((n, longest), -1, np.int32)
+    tags, on = np.zeros((n, longest), np.int8), np.zeros((n, longest), bool)
+    known: dict[str, int] = {}
     for i, (words, marks) in enumerate(data):
         tags[i, : len(words)], on[i, : len(words)] = marks, True
-        for k, w in enumerate(words):
-            f = known.setdefault(w, features(w) if w not in known else known[w])
-            index[i, k, : len(f)] = f
+        place[i, : len(words)] = [known.setdefault(w, len(known)) for w in words]
+    index = np.full((len(known) + 1, wide), SIZE, np.int32)
+    for w, i in known.items():
+        f = features(w)
+        index[i, : len(f)] = f
+    place[~on] = len(known)
+    known.clear()
     used, index = np.unique(index, return_inverse=True)
-    index, pad = index.reshape(n, longest, wide), used.size - 1 if used[-1] == SIZE else used.size
+    index, pad = index.reshape(-1, wide), used.size - 1
     theta = np.zeros(used.size + 1 + 4)
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     true_moves = np.zeros((2, 2))
@@ -199,24 +226,16 @@ def fit_field(data: list[tuple[list[str], list[int]]], rounds: int = 60, rate: f
     for step in range(1, rounds + 1):
         w, moves = theta[:-4], theta[-4:].reshape(2, 2)
         w[pad] = 0.0
-        score = np.zeros((n, longest, 2))
-        score[:, :, 1] = w[index].sum(axis=2)
-        ahead, back = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        ahead[:, 0] = score[:, 0]
-        for k in range(1, longest):
-            new = np.logaddexp(ahead[:, k - 1, :1] + moves[0], ahead[:, k - 1, 1:] + moves[1]) + score[:, k]
-            ahead[:, k] = np.where(on[:, k, None], new, ahead[:, k - 1])
-        for k in range(longest - 2, -1, -1):
-            s = score[:, k + 1] + back[:, k + 1]
-            new = np.logaddexp(moves[:, 0] + s[:, :1], moves[:, 1] + s[:, 1:])
-            back[:, k] = np.where(on[:, k + 1, None], new, 0.0)
-        total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        p = np.exp(ahead + back - total[:, None, None])
-        gap = np.where(on, (tags == 1) - p[:, :, 1], 0.0)
+        emission = w[index].sum(axis=1)
+        gaps, found_moves = np.zeros(len(index)), np.zeros((2, 2))
+        for at in range(0, n, FIT_CHAINS):
+            part = slice(at, at + FIT_CHAINS)
+            gap, moved = expected(emission[place[part]], moves, tags[part], on[part])
+            gaps += np.bincount(place[part].ravel(), gap.ravel(), minlength=len(index))
+            found_moves += moved
         grad = np.zeros_like(theta)
-        grad[:-4] = np.bincount(index.ravel(), np.repeat(gap.ravel(), wide), minlength=used.size + 1)
-        s = (score + back)[:, 1:, None, :] + ahead[:, :-1, :, None] + moves - total[:, None, None, None]
-        grad[-4:] = (true_moves - (np.exp(s) * both[:, :, None, None]).sum(axis=(0, 1))).ravel()
+        grad[:-4] = np.bincount(index.ravel(), np.repeat(gaps, wide), minlength=used.size + 1)
+        grad[-4:] = (true_moves - found_moves).ravel()
         grad = grad / n - decay * theta
         grad[pad] = 0.0
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
