@@ -1,12 +1,13 @@
 """Corpus pipeline: five stages, each written as Parquet and read again as the documents of the next.
 
 toxicity       documents scored 0.5 or more by the span tagger go
-near_dedup     of each near-duplicate component, the document with the smallest id stays
+near_dedup     of each near-duplicate component, one row stays: that with the smallest id
 decontaminate  documents that meet a benchmark item go
 mixing         documents are repeated as the temperature mixture asks; none is left out
 token_output   token files are written; one row for each document that is read back
 
-A row without doc_id is kept by near_dedup only where its component has no id at all, and then once.
+A row without doc_id is kept by near_dedup only where its component has no id at all, and then once for each such
+component. Rows of one id with texts in different components are different documents.
 """
 
 from __future__ import annotations
@@ -25,10 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = simhash.near_duplicates(docs)
-    stay = classes.groupBy("component_id").count().select(F.col("component_id").alias("_stays"))
-    # equal rows of one id are one document
-    return docs.join(stay, docs["doc_id"].eqNullSafe(F.col("_stays")), "left_semi").dropDuplicates(["doc_id"])
+    return simhash.first_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

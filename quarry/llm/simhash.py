@@ -8,7 +8,8 @@ hold 2**18 fingerprints at most. Buckets give spanning links, never all their pa
 
 Cases: a null text is an empty one; an empty text has fingerprint zero and is linked like any other.
 Repeated rows share a fingerprint, so they share a component. A null id is never the name of a
-component unless no row of the component has an id. Other columns of the input are ignored.
+component unless no row of the component has an id, so components without ids share that name; their
+roots tell them apart. Other columns of the input are ignored, and kept by first_of_each().
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, table
@@ -45,16 +46,17 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int(np.packbits(2 * ones > hashes.size).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(doc_id, fp): one row for each row of docs."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, digest: Column | None = None) -> DataFrame:
+    """(doc_id, fp), and digest if it is given: one row for each row of docs."""
+    more = [] if digest is None else [digest.alias("digest")]
 
     def run(batches):
         for b in batches:
             fps = [fingerprint(t, width) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *b.columns[2:]], ["doc_id", "fp", "digest"][: b.num_columns])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *more)
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", digest binary" * len(more))
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -108,7 +110,8 @@ def links(fps: DataFrame) -> DataFrame:
     """(u, v) over distinct fingerprints whose components are those of all links of at most three bits."""
     rows = _variants(fps)
     counts = rows.groupBy("key").count().where("count > 1")
-    rows = materialise(rows.join(counts, "key"), "buckets")
+    # merged: Spark's estimate leaves out that each fingerprint has 64 variants, and either side may be broadcast whole
+    rows = materialise(rows.join(counts.hint("merge"), "key"), "buckets")
     small = rows.where(F.col("count") <= BUCKET).groupBy("key").agg(F.collect_list("fp").alias("fps"))
     found = _spanned(small)
     large = rows.where(F.col("count") > BUCKET)
@@ -118,13 +121,17 @@ def links(fps: DataFrame) -> DataFrame:
     return found.distinct()
 
 
+def roots_of(fps: DataFrame) -> DataFrame:
+    """fps(fp, ...), one row for each distinct fingerprint, with root: the least fingerprint of its component."""
+    roots = components(links(fps.select("fp"))).select(F.col("node").alias("fp"), "root")
+    return materialise(fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of docs; fingerprint is 16 hexadecimal digits."""
     rows = materialise(fingerprints(docs, id_col, text_col, width), "fingerprints")
     firsts = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(firsts.select("fp"))).select(F.col("node").alias("fp"), "root")
-    rooted = firsts.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = materialise(rooted, "rooted")
+    rooted = roots_of(firsts)
     named = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "named")
     classes = materialise(rooted.join(named, "root").select("fp", "component_id"), "classes")
     return rows.join(classes, "fp").select(
@@ -132,6 +139,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """One row of docs for each component: the least by id (null last), fingerprint and digest of the text.
+
+    Ids need not be unique or there at all: rows are found again by id and digest, which settle the
+    component. Of rows that are equal in both, one stays.
+    """
+    digest = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")))
+    rows = fingerprints(docs, id_col, text_col, width, digest)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "digest")
+    firsts = materialise(rows.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
+    stay = roots_of(firsts).groupBy("root").agg(F.min("first").alias("first"))
+    stay = materialise(stay.select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_kept")), "stay")
+    named = docs.withColumn("_digest", digest)
+    same = named[id_col].cast("long").eqNullSafe(stay["_id"]) & (named["_digest"] == stay["_kept"])
+    return named.join(stay, same, "left_semi").dropDuplicates([id_col, "_digest"]).drop("_digest")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

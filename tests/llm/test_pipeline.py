@@ -52,6 +52,15 @@ def test_stages_on_odd_rows(spark, tmp_path):
     assert ids(written) == ids(mixed)
 
 
+def test_near_dedup_keeps_a_row_of_each_component(spark, tmp_path):
+    """Different texts without an id, or under one id, are different documents; copies of them are not."""
+    said = ["first words of one letter home", "another report on grain and rain", "seven old maps of the northern coast", "how to mend a clock by candle light", "notes from a slow boat going south"]
+    rows = [(None, said[0], "a"), (None, said[1], "a"), (None, said[1], "b"), (4, said[2], "a"), (4, said[3], "a"), (4, said[3], "a"), (9, said[4], "a"), (None, said[4], "a"), (12, said[2], "a"), (None, None, "a"), (None, "", "a")]
+    kept = corpus_pipeline.drop_near_duplicates(spark, _docs(spark, rows), str(tmp_path))
+    found = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert found == sorted([(0, said[0]), (0, said[1]), (4, said[2]), (4, said[3]), (9, said[4]), (0, "")])
+
+
 def test_stages_on_no_rows(spark, tmp_path):
     folder, docs = _folder(spark, tmp_path), _docs(spark, [])
     for name, stage in corpus_pipeline.STAGES:
