@@ -4,7 +4,8 @@ A text is a chain of words with two states, clean and toxic. The field has weigh
 word (the word, its beginnings and ends, its shape) and for the transitions between states. Labels mark whole
 documents; words become labelled through units (words and beginnings of words) that stand in toxic documents
 far more than in clean ones: inside a toxic document such words are toxic, all other words are clean. Copies of
-one document count once, or every rare word of a toxic text that was copied would look toxic.
+one document count once, or every rare word of a toxic text that was copied would look toxic; a copy is a text
+whose runs of five words have a Jaccard similarity of half or more with those of a text of its label that counts.
 Forward-backward gives every word's marginal, from which come the offending offsets and, through a logistic
 function fitted on the documents of the sample, the document's score.
 
@@ -40,8 +41,8 @@ FIT_CHAINS = 2048
 #: A unit marks toxic words if it stands in this many toxic documents, this many times as often as in clean ones,
 #: and its counts are less likely by chance than exp(-LEAST_NATS).
 LEAST_DOCS, LEAST_RATIO, LEAST_NATS = 3, 12.0, 8.0
-#: Copies in the sample share one of so many least hashes of runs of so many words.
-HASHES, RUN = 8, 5
+#: Copies in the sample share this part of their runs of so many words; candidates share one of so many least hashes.
+COPY, RUN, HASHES = 0.5, 5, 8
 WORD = re.compile(r"\w+")
 CACHED_WORDS = 400_000
 SPANS = "array<struct<start:bigint,stop:bigint,p:double>>"
@@ -122,25 +123,34 @@ def sample(docs: DataFrame, labels: DataFrame, keep: Column, size: int) -> list[
 
 
 def without_copies(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
-    """The first of the texts with one label that share a least hash of their runs of words, directly or by others."""
-    root = list(range(len(rows)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = i = root[root[i]]
-        return i
+    """The texts in their order, without those that are copies of one with the same label that stays.
 
+    A copy shares COPY of the runs of words of both texts, counted exactly; texts that share a least hash are compared.
+    """
     factors = np.random.default_rng(0).integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    seen: dict[tuple, int] = {}
+    least = np.zeros((len(rows), HASHES), np.uint64)
+    stay: list[tuple[str, int]] = []
+    kept: dict[int, list[tuple[int, np.ndarray]]] = {0: [], 1: []}
     for i, (text, label) in enumerate(rows):
         words = WORD.findall(text.lower())
-        runs = [" ".join(words[k : k + RUN]) for k in range(max(1, len(words) - RUN + 1))]
-        hashes = np.fromiter((zlib.crc32(r.encode()) for r in runs), np.uint64, len(runs)) + np.uint64(1)
-        for k, f in enumerate(factors):
-            first = seen.setdefault((label, k, int((hashes * f).min())), i)
-            a, b = find(first), find(i)
-            root[max(a, b)] = min(a, b)
-    return [r for i, r in enumerate(rows) if find(i) == i]
+        runs = {" ".join(words[k : k + RUN]) for k in range(max(1, len(words) - RUN + 1))}
+        # sorted and distinct, so that two sets merge
+        hashes = np.unique(np.fromiter((zlib.crc32(r.encode()) for r in runs), np.uint32, len(runs)))
+        least[i] = ((hashes.astype(np.uint64) + np.uint64(1))[:, None] * factors).min(axis=0)
+        before = kept[label]
+        near = np.flatnonzero((least[[j for j, _ in before]] == least[i]).any(axis=1)) if before else ()
+        if not any(shared(hashes, before[k][1]) >= COPY for k in near):
+            before.append((i, hashes))
+            stay.append((text, label))
+    return stay
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets."""
+    if min(a.size, b.size) < COPY * max(a.size, b.size):
+        return 0.0
+    both = np.intersect1d(a, b, assume_unique=True).size
+    return both / (a.size + b.size - both)
 
 
 def surprise(n: int, total: int, rate: float) -> float:
