@@ -46,3 +46,21 @@ def complete_folders(spark: SparkSession, root: str, needed: tuple[str, ...] = (
         F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), F.regexp_extract("path", "([^/]*)$", 1).alias("name")
     ).where(F.col("name").isin(*needed))
     return split.groupBy("folder").agg(F.countDistinct("name").alias("n")).where(F.col("n") == len(needed)).select("folder")
+
+
+def in_vocabulary(words: DataFrame, vocabulary: DataFrame, word: str = "word") -> DataFrame:
+    """O-11: rows whose lower-cased word is in the vocabulary's column of that name; both may be of any size."""
+    known = vocabulary.select(F.col(word).alias("_known"))
+    return words.join(known, F.lower(words[word]) == known["_known"], "left_semi")
+
+
+def with_images(items: DataFrame, files: DataFrame, original_root: str, result_folder: str) -> DataFrame:
+    """O-53: items(key, id, ...) with the contents original and result, null where there is no file.
+
+    files(path, content) as of images(); the folders are absolute, with or without a scheme.
+    """
+    plain = lambda path: F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    for name, folder, file in (("original", original_root, F.col("id")), ("result", result_folder, F.concat("key", F.lit(".png")))):
+        found = files.select(plain(F.col("path")).alias("_path"), F.col("content").alias(name))
+        items = items.withColumn("_path", F.concat(plain(F.lit(folder.rstrip("/"))), F.lit("/"), file)).join(found, "_path", "left").drop("_path")
+    return items

@@ -108,3 +108,19 @@ def test_readers_and_stream(spark, tmp_path):
         spark.range(5).write.mode("append").parquet(f"{tmp_path}/in")
         follow(spark, f"{tmp_path}/in", "id long", lambda df: df, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
         assert spark.read.parquet(f"{tmp_path}/out").count() == 5 * (k + 1)
+
+
+def test_vocabulary_and_item_images(spark, tmp_path):
+    from quarry.sources import readers
+
+    words = spark.createDataFrame([("Cat",), ("cat",), ("zzq",), (None,)], "word string")
+    known = spark.createDataFrame([("cat",), ("cat",), (None,)], "word string")
+    assert sorted(r.word for r in readers.in_vocabulary(words, known).collect()) == ["Cat", "cat"]
+    for name in ("in/a/1.jpg", "out/k1.png"):
+        (tmp_path / name).parent.mkdir(parents=True)
+        (tmp_path / name).write_bytes(name.encode())
+    items = spark.createDataFrame([("k1", "a/1.jpg"), ("k2", "a/2.jpg")], "key string, id string")
+    files = readers.images(spark, str(tmp_path), "*.*")
+    rows = readers.with_images(items, files, f"{tmp_path}/in/", f"file://{tmp_path}/out").collect()
+    found = {r.key: (r.original and bytes(r.original), r.result and bytes(r.result)) for r in rows}
+    assert found == {"k1": (b"in/a/1.jpg", b"out/k1.png"), "k2": (None, None)}
