@@ -3,20 +3,41 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, or name after as many underscores as it takes to be none of df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def column(name: str) -> Column:
+    """The column of that very name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local session, whose tasks run in this very process, gets a temporary one; on a cluster
+    that is an error, as executors would write to disks of their own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='quarry-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -7,7 +7,8 @@ and when a shard comes or goes, few slots change hands. The table has a fixed nu
 broadcast; placing needs no shuffle.
 
 Cases: a null key goes to the slot of the empty string. Equal keys go to the same shard. An empty table gives
-an empty result. Other columns, whatever their names, are kept by place_rows.
+an empty result. Other columns, whatever their names, are kept; a column that has the name of place_rows' result is
+replaced by it, and write_shards names its folders by a name that no column has.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import column, table, unused
 
 #: Shards of the production layout, and slots of its table: a prime, about a hundred for each shard.
 SHARDS, SLOTS = 64, 6553
@@ -48,19 +49,26 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.lit(slots).cast("long"))
 
 
-def place_rows(df: DataFrame, key: Column, shards: list[str], slots: int = SLOTS) -> DataFrame:
+def place_rows(df: DataFrame, key: Column, shards: list[str], slots: int = SLOTS, name: str = "_place") -> DataFrame:
     """df with a struct column _place(slot, shard). Only the table, slots rows of two numbers, is broadcast."""
+    held = unused(df, "_owner")
     owners = df.sparkSession.createDataFrame(
-        [((s, o),) for s, o in enumerate(lookup_table(shards, slots))], "_place struct<slot: bigint, shard: bigint>"
+        [((s, o),) for s, o in enumerate(lookup_table(shards, slots))], f"{held} struct<slot: bigint, shard: bigint>"
     )
-    return df.join(F.broadcast(owners), slot_of(key, slots) == F.col("_place.slot"))
+    joined = df.join(F.broadcast(owners), slot_of(key, slots) == F.col(f"{held}.slot"))
+    return joined.withColumn(name, F.col(held)).drop(held)
 
 
-def write_shards(df: DataFrame, key: Column, shards: list[str], folder: str, slots: int = SLOTS, salts: int = SALTS) -> None:
-    """Write df as one folder for each shard, each from salts tasks, so that one hot key does not hold up a shard."""
-    placed = place_rows(df, key, shards, slots).withColumn("shard", F.col("_place.shard")).drop("_place")
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
-    placed.repartition(len(shards) * salts, "shard", salt).write.partitionBy("shard").parquet(folder)
+def write_shards(df: DataFrame, key: Column, shards: list[str], folder: str, slots: int = SLOTS, salts: int = SALTS) -> str:
+    """Write df as one folder for each shard, each from salts tasks, so that one hot key does not hold up a shard.
+
+    Gives the name of the folders' column: shard, after underscores where df has that already.
+    """
+    place, name = unused(df, "_place"), unused(df, "shard")
+    placed = place_rows(df, key, shards, slots, place).withColumn(name, F.col(f"{place}.shard")).drop(place)
+    salt = F.pmod(F.xxhash64(*map(column, df.columns)), F.lit(salts))
+    placed.repartition(len(shards) * salts, name, salt).write.partitionBy(name).parquet(folder)
+    return name
 
 
 def shard_names(n: int = SHARDS) -> list[str]:
