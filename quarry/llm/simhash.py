@@ -9,7 +9,8 @@ hold 2**18 fingerprints at most. Buckets give spanning links, never all their pa
 Cases: a null text is an empty one; an empty text has fingerprint zero and is linked like any other.
 Repeated rows share a fingerprint, so they share a component. A null id is never the name of a
 component unless no row of the component has an id, so components without ids share that name; their
-roots tell them apart. Other columns of the input are ignored, and kept by first_of_each().
+roots tell them apart. Ids keep their type and are compared as it orders them. Other columns of the input are
+ignored, and kept by first_of_each(). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import column, materialise, release, table, unused
 from .components import components
 
 MAX_BITS = 3
@@ -47,16 +48,17 @@ def fingerprint(text: bytes, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, digest: Column | None = None) -> DataFrame:
-    """(doc_id, fp), and digest if it is given: one row for each row of docs."""
+    """(doc_id, fp), and digest if it is given: one row for each row of docs, whose ids keep their type."""
     more = [] if digest is None else [digest.alias("digest")]
+    kind = docs.select(F.col(id_col).alias("doc_id")).schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t, width) for t in b.column(1).to_pylist()]
+            fps = [fingerprint(t.as_py(), width) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *b.columns[2:]], ["doc_id", "fp", "digest"][: b.num_columns])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *more)
-    return rows.mapInArrow(run, "doc_id long, fp long" + ", digest binary" * len(more))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *more)
+    return rows.mapInArrow(run, f"doc_id {kind}, fp long" + ", digest binary" * len(more))
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -87,7 +89,8 @@ def spanning_links(values: list[int], max_bits: int = MAX_BITS) -> list[tuple[in
     while rest.size:
         root, queue, rest = int(rest[0]), [rest[0]], rest[1:]
         while queue and rest.size:
-            near = np.bitwise_count(rest ^ queue.pop()) <= max_bits
+            # as unsigned: of a negative number, the bits of its absolute value would be counted
+            near = np.bitwise_count((rest ^ queue.pop()).view(np.uint64)) <= max_bits
             if near.any():
                 found = rest[near]
                 out += [(int(x), root) for x in found]
@@ -118,13 +121,18 @@ def links(fps: DataFrame) -> DataFrame:
     if not large.isEmpty():
         cut = _deeper(large).groupBy("key", "key2").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
         found = found.unionByName(_spanned(cut))
-    return found.distinct()
+    found = materialise(found.distinct(), "found-links")
+    release(rows)
+    return found
 
 
 def roots_of(fps: DataFrame) -> DataFrame:
     """fps(fp, ...), one row for each distinct fingerprint, with root: the least fingerprint of its component."""
-    roots = components(links(fps.select("fp"))).select(F.col("node").alias("fp"), "root")
-    return materialise(fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    found = links(fps.select("fp"))
+    roots = components(found).select(F.col("node").alias("fp"), "root")
+    rooted = materialise(fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    release(found)
+    return rooted
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
@@ -132,8 +140,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialise(fingerprints(docs, id_col, text_col, width), "fingerprints")
     firsts = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     rooted = roots_of(firsts)
+    release(firsts)
     named = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "named")
     classes = materialise(rooted.join(named, "root").select("fp", "component_id"), "classes")
+    release(rooted)
+    release(named)
     return rows.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -142,18 +153,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """One row of docs for each component: the least by id (null last), fingerprint and digest of the text.
 
-    Ids need not be unique or there at all: rows are found again by id and digest, which settle the
-    component. Of rows that are equal in both, one stays.
+    Ids need not be unique or there at all: rows are found again by a digest of id and text, which settle the
+    component. Of rows that are equal in both, one stays; they are folded in every task before docs are shuffled,
+    once, by that digest, so that many of them are no hot key.
     """
-    digest = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")))
+    text, named = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(id_col).cast("string")
+    digest = F.unhex(F.md5(F.concat(F.coalesce(F.concat(F.lit("="), named), F.lit("-")), F.lit("\n"), text).cast("binary")))
     rows = fingerprints(docs, id_col, text_col, width, digest)
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "digest")
-    firsts = materialise(rows.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
-    stay = roots_of(firsts).groupBy("root").agg(F.min("first").alias("first"))
-    stay = materialise(stay.select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_kept")), "stay")
-    named = docs.withColumn("_digest", digest)
-    same = named[id_col].cast("long").eqNullSafe(stay["_id"]) & (named["_digest"] == stay["_kept"])
-    return named.join(stay, same, "left_semi").dropDuplicates([id_col, "_digest"]).drop("_digest")
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "digest")
+    firsts = materialise(rows.groupBy("fp").agg(F.min(least).alias("first")), "distinct")
+    rooted, key = roots_of(firsts), unused(docs, "_digest")
+    release(firsts)
+    stay = materialise(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.digest").alias(key)), "stay")
+    release(rooted)
+    return docs.withColumn(key, digest).dropDuplicates([key]).join(stay, key, "left_semi").select(*map(column, docs.columns))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
