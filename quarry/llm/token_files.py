@@ -13,7 +13,9 @@ Every task writes files of its own name and reports them in a manifest, which Sp
 or repeated attempts are in no manifest and so are never read.
 
 Cases: a null text is an empty one, and has its end id only. A null doc_id comes first. Rows with the same
-doc_id are kept, ordered by text. Empty input gives an empty manifest.
+doc_id are kept, ordered by a hash of their texts and dealt by it too, so that texts without an id, or under one, are
+spread over files. Ids are whole numbers; one that cannot be read as such is an error. Other columns are ignored.
+Empty input gives an empty manifest.
 """
 
 from __future__ import annotations
@@ -171,7 +173,8 @@ def write_token_files(
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
     return materialise(ordered.mapInArrow(run, MANIFEST), "manifest")
 
 
