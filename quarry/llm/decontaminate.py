@@ -1,7 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item of m characters may be met with k = floor(RATE * m) edits. Cut into k + 1 pieces, at least one
-piece is met exactly. All pieces of a block of items form one Aho-Corasick automaton, which finds exact piece
+piece is met exactly. An item whose budget is no edit at all is one piece, and is met where whole words of the text
+are its words. All pieces of a block of items form one Aho-Corasick automaton, which finds exact piece
 hits in one pass over a text; around a hit, Myers' bit-parallel algorithm gives the least edit distance of the
 whole item to any stretch of the text. Texts and items are compared in lower case, letters and digits only,
 with single spaces between words.
@@ -9,9 +10,9 @@ with single spaces between words.
 The items are the stated query set. They are broadcast in blocks of at most BLOCK_CHARS characters (but one
 item at least), with one pass over the documents for each block.
 
-Cases: null and empty texts and items match nothing. Items with fewer than MIN_CHARS characters are too short
-to tell a leak from chance and match a text only as a whole. Repeated items are found each by its own id;
-repeated documents each give their own rows. Empty tables give empty results.
+Cases: null and empty texts and items match nothing; nor do items without a letter or digit. Repeated items are
+found each by its own id; repeated documents each give their own rows. Document ids keep their type, item ids are whole
+numbers. Empty tables give empty results. Other columns are ignored by find_leaks and kept by without_leaks, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, table
 
-RATE, MIN_CHARS = 0.08, 24
+RATE = 0.08
 #: Characters of the items that one broadcast holds.
 BLOCK_CHARS = 500_000
 GAPS = re.compile(r"[\W_]+")
@@ -73,14 +74,12 @@ def best_match(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
 class Matcher:
     """items: (item_id, normalised text)."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, min_chars: int = MIN_CHARS):
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
         import ahocorasick
 
-        self.items, self.whole, pieces = [], defaultdict(list), defaultdict(list)
+        self.items, pieces = [], defaultdict(list)
         for item_id, text in items:
-            if len(text) < min_chars:
-                if text:
-                    self.whole[text].append(item_id)
+            if not text:
                 continue
             budget = int(rate * len(text))
             for at, piece in cut(text, budget + 1):
@@ -95,13 +94,18 @@ class Matcher:
 
     def hits(self, text: str) -> list[tuple[int, int, int, int, int]]:
         """(item_id, distance, budget, start, stop) of the best match of each item within its budget."""
-        out = [(i, 0, 0, 0, len(text)) for i in self.whole.get(text, ())]
+        out = []
         places: dict[int, set[int]] = defaultdict(set)
         for end, (size, found) in self.finder.iter(text) if self.any else ():
             for n, at in found:
                 places[n].add(end + 1 - size - at)
         for n, starts in places.items():
             item_id, item, budget, masks = self.items[n]
+            if not budget:
+                whole = (s for s in sorted(starts) if text[max(0, s - 1) : s] in ("", " ") and text[s + len(item) : s + len(item) + 1] in ("", " "))
+                if (at := next(whole, None)) is not None:
+                    out.append((item_id, 0, 0, at, at + len(item)))
+                continue
             best = None
             for low, high in _joined(sorted(starts), 2 * budget):
                 low, high = max(0, low - budget), high + len(item) + budget
@@ -128,8 +132,8 @@ def _joined(starts: list[int], gap: int):
 
 
 @lru_cache(maxsize=2)
-def _matcher(items: tuple, rate: float, min_chars: int) -> Matcher:
-    return Matcher(list(items), rate, min_chars)
+def _matcher(items: tuple, rate: float) -> Matcher:
+    return Matcher(list(items), rate)
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
@@ -151,7 +155,7 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
         yield tuple((r.item_id, normal(r.text)) for r in rows.collect())
 
 
-def leaks_column(text: Column, spark: SparkSession, items: tuple, rate: float, min_chars: int) -> Column:
+def leaks_column(text: Column, spark: SparkSession, items: tuple, rate: float) -> Column:
     """The hits of the items in each text, an array that is empty for clean texts."""
     held = spark.sparkContext.broadcast(items)
     kind = pa.list_(
@@ -161,30 +165,30 @@ def leaks_column(text: Column, spark: SparkSession, items: tuple, rate: float, m
 
     @F.arrow_udf(HITS)
     def hits(texts: pa.Array) -> pa.Array:
-        matcher = _matcher(held.value, rate, min_chars)
+        matcher = _matcher(held.value, rate)
         return pa.array([[dict(zip(names, h)) for h in matcher.hits(normal(t.as_py()))] for t in texts], kind)
 
     return hits(text)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """(doc_id, item_id, distance, budget, start, stop): each item that is met in a row of docs.
 
     start and stop are places in the normalised text.
     """
     out = None
     for items in item_blocks(benchmark):
-        hits = leaks_column(F.col("text"), docs.sparkSession, items, rate, min_chars)
+        hits = leaks_column(F.col("text"), docs.sparkSession, items, rate)
         part = docs.select("doc_id", F.explode(hits).alias("hit")).select("doc_id", "hit.*")
         out = part if out is None else out.unionByName(part)
     kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, distance int, budget int, start long, stop long"
     return docs.sparkSession.createDataFrame([], kind) if out is None else out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The rows of docs that meet no item."""
     for items in item_blocks(benchmark):
-        docs = docs.where(F.size(leaks_column(F.col("text"), docs.sparkSession, items, rate, min_chars)) == 0)
+        docs = docs.where(F.size(leaks_column(F.col("text"), docs.sparkSession, items, rate)) == 0)
     return docs
 
 
