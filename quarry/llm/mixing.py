@@ -1,35 +1,43 @@
 """Temperature mixing of sources.
 
 Token shares p of the sources are raised to an exponent a; the weights are p**a, normalised. a is bisected
-until the weights meet a target entropy (bits) or until no source is repeated more than a limit. The weights
-are realised as passes over block permutations: every source is walked in the order of a seeded hash, anew in
-each epoch, until its part of the token budget is spent. Whole epochs take every document; of the last one, a
-source takes the documents up to a cut in that order. Blocks, which are ranges of the hash, make the running
-totals: first over blocks, then inside the one block in which the budget ends.
+until the weights meet a target entropy (bits) or until no source is walked more often than a limit, whatever the
+budget. The weights are realised as passes over block permutations: every source is walked in the order of a seeded
+hash, anew in each epoch, until its part of the token budget is spent. Whole epochs take every document; of the last
+one, a source takes the documents up to a cut in that order. Blocks, which are ranges of the hash, make the running
+totals: first over blocks, then inside the one block in which the budget ends. A document's position in the mixture
+is how far its source has been walked, as a share of the passes over it, so that every stretch of the mixture, not
+just all of it, is at target weights.
 
-The default budget is the least that gives every source one whole epoch, so nothing is left out.
+Tokens are counted with a public vocabulary, in one pass over the texts. The default budget is the least that gives
+every source one whole epoch, so nothing is left out.
 
 Cases: a null source is a source of its own. Null and empty texts have no tokens; they come once in each whole
 epoch and stay in order in the last. Rows with the same id share their place and are taken or left together.
 An empty table gives an empty result. The exponent lies between 0 (equal weights) and 1 (shares as they are);
-a target out of reach gives the nearer end.
+a target entropy out of reach gives the nearer end, and a limit that the budget breaks at any weights is an error.
+Other columns are kept, whatever their names; a column that has the name of the result is replaced by it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log2
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, release, table, unused
+from .words import word_encoder
 
 MAX_REPETITION = 2.0
 #: Documents of a block, about.
 BLOCK_DOCS = 10_000
 SEED = 20
 #: Levels of the bisection that one pass over the sources evaluates together, and passes.
-LEVELS, PASSES = 5, 6
+LEVELS, PASSES = 5, 8
 TOP = 2.0**63
 
 
@@ -41,8 +49,16 @@ class Target:
     repetition: float | None = MAX_REPETITION
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long")
+def token_count(text: Column, vocabulary: str | None = None) -> Column:
+    """The number of the text's ids under a vocabulary whose tokens do not span words; 0 for a null text."""
+    path = vocabulary or public_tokenizers.path("word_bpe_49k.json")
+
+    @F.arrow_udf("long")
+    def count(texts: pa.Array) -> pa.Array:
+        encoder = word_encoder(path)
+        return pa.array([encoder.count(t.as_py() or "") for t in texts], pa.int64())
+
+    return count(text.cast("string"))
 
 
 def _order(seed: int, epoch: Column, doc_id: Column) -> Column:
@@ -50,44 +66,43 @@ def _order(seed: int, epoch: Column, doc_id: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), epoch.cast("long"), doc_id), 1)
 
 
-def exponent(sources: DataFrame, target: Target) -> float:
+def exponent(sources: DataFrame, target: Target, budget: float | None = None) -> float:
     """Bisect over sources(tokens). Every pass evaluates all midpoints of the next LEVELS halvings in one
     aggregation, so the sources stay distributed and the driver sees a row of numbers."""
     used = sources.where("tokens > 0")
     low, high, steps = 0.0, 1.0, 2**LEVELS
     top, total, least = used.agg(F.max("tokens"), F.sum("tokens"), F.min("tokens")).first()
-    if not total or top == least:
+    if not total:
         return 1.0
-    if target.entropy is None:
-        # with the default budget, a source is walked (top / tokens) ** (1 - a) times; the least one is walked most
-        def met(a: float, _) -> bool:
-            return (top / least) ** (1 - a) <= target.repetition
-    else:
-        # the entropy falls as the exponent grows
-        def met(a: float, entropy: float) -> bool:
+    if target.repetition is not None and (budget or total) > target.repetition * total:
+        raise ValueError(f"{(budget or total) / total} passes over all tokens break the limit of {target.repetition}")
+    if top == least:
+        return 1.0
+
+    def met(a: float, power: float, entropy: float) -> bool:
+        if target.entropy is not None:  # it falls as the exponent grows
             return entropy <= target.entropy
+        # the least source is walked most: its part of the budget over its tokens; this falls as the exponent grows
+        spent = budget / power if budget else float(top)
+        return spent / top * (least / top) ** (a - 1) <= target.repetition
 
+    share = F.col("tokens") / F.lit(float(top))
     for _ in range(PASSES):
         points = [low + (high - low) * i / steps for i in range(1, steps)]
-        found = [None] * len(points)
-        if target.entropy is not None:
-            share = F.col("tokens") / F.lit(float(top))
-            sums = [F.sum(F.pow(share, F.lit(a))).alias(f"s{i}") for i, a in enumerate(points)]
-            logs = [F.sum(F.pow(share, F.lit(a)) * F.log2(share) * a).alias(f"l{i}") for i, a in enumerate(points)]
-            row = used.agg(*sums, *logs).first().asDict()
-            from math import log2
-
-            found = [log2(row[f"s{i}"]) - row[f"l{i}"] / row[f"s{i}"] for i in range(len(points))]
-        first = next((i for i, a in enumerate(points) if met(a, found[i])), len(points))
+        sums = [F.sum(F.pow(share, F.lit(a))).alias(f"s{i}") for i, a in enumerate(points)]
+        logs = [F.sum(F.pow(share, F.lit(a)) * F.log2(share) * a).alias(f"l{i}") for i, a in enumerate(points)]
+        row = used.agg(*sums, *logs).first().asDict()
+        found = [(row[f"s{i}"], log2(row[f"s{i}"]) - row[f"l{i}"] / row[f"s{i}"]) for i in range(len(points))]
+        first = next((i for i, a in enumerate(points) if met(a, *found[i])), len(points))
         low, high = ([low] + points)[first], (points + [high])[first]
     return high
 
 
 def plan(base: DataFrame, target: Target, budget: float | None, seed: int, block_docs: int) -> DataFrame:
-    """One row for each source of base(doc_id, source, n_tokens): weight, whole epochs and cut of the last epoch."""
+    """One row for each source of base(doc_id, source, n_tokens): weight, passes, whole epochs and cut of the last one."""
     totals = base.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     sources = materialise(totals, "sources")
-    a = exponent(sources, target)
+    a = exponent(sources, target, budget)
     power = F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double"), F.lit(a))).otherwise(0.0)
     powers = sources.withColumn("power", power)
     whole, largest = powers.agg(F.sum("power"), F.max(F.expr("try_divide(tokens, power)"))).first()
@@ -98,6 +113,7 @@ def plan(base: DataFrame, target: Target, budget: float | None, seed: int, block
     sources = powers.select(
         "source",
         weight.alias("weight"),
+        passes.alias("passes"),
         F.floor(passes).alias("epochs"),
         ((passes - F.floor(passes)) * F.col("tokens")).alias("rest"),
         F.ceil(F.col("docs") / block_docs).alias("blocks"),
@@ -121,7 +137,10 @@ def plan(base: DataFrame, target: Target, budget: float | None, seed: int, block
     )
     cut = F.coalesce("cut_in", "cut_before", F.lit(-1).cast("long"))
     out = sources.join(starts, "source", "left").join(cuts, "source", "left")
-    return materialise(out.select("source", "weight", "epochs", cut.alias("cut")), "mix-plan")
+    out = materialise(out.select("source", "weight", "passes", "epochs", cut.alias("cut")), "mix-plan")
+    for part in (sources, sums, last):
+        release(part)
+    return out
 
 
 def mix(
@@ -131,33 +150,45 @@ def mix(
     tokens: Column | None = None,
     seed: int = SEED,
     block_docs: int = BLOCK_DOCS,
+    name: str = "_mix",
 ) -> DataFrame:
-    """docs, each row as often as the mixture takes it, with struct column _mix(epoch, place, n_tokens, weight).
+    """docs, each row as often as the mixture takes it, with struct column _mix(epoch, place, n_tokens, weight, position).
 
-    docs needs columns doc_id, source and text; tokens is the size of a document, its words by default.
-    The order of the mixture is by epoch, then place.
+    docs needs columns doc_id, source and text; tokens is the size of a document, and stands for text where it is
+    given. The order of the mixture is by position, which ends near 1; any stretch of it is at target weights.
     """
-    size = word_count(F.col("text")) if tokens is None else tokens
+    size = unused(docs, "_size")
     source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
-    base = docs.select(F.col("doc_id"), source.alias("source"), size.alias("n_tokens"))
-    base = materialise(base, "sizes")
+    if tokens is None:  # counted once: the sizes are written beside the rows
+        docs = materialise(docs.withColumn(size, token_count(F.col("text"))), "sized")
+    else:
+        docs = docs.withColumn(size, tokens)
+    base = docs.select(F.col("doc_id"), source.alias("source"), F.col(size).cast("long").alias("n_tokens"))
+    if tokens is not None:
+        base = materialise(base, "sizes")
     chosen = plan(base, target or Target(), budget, seed, block_docs)
-    chosen = chosen.select(F.struct("source", "weight", "epochs", "cut").alias("_plan"))
-    joined = docs.join(chosen, source == F.col("_plan.source"))
-    last = F.when(_order(seed, F.col("_plan.epochs"), F.col("doc_id")) <= F.col("_plan.cut"), 1).otherwise(0)
-    times = F.col("_plan.epochs").cast("int") + last
+    held, turn = unused(docs, "_plan"), unused(docs, "_epoch")
+    chosen = chosen.select(F.struct("source", "weight", "passes", "epochs", "cut").alias(held))
+    joined = docs.join(chosen, source == F.col(f"{held}.source"))
+    last = F.when(_order(seed, F.col(f"{held}.epochs"), F.col("doc_id")) <= F.col(f"{held}.cut"), 1).otherwise(0)
+    times = F.col(f"{held}.epochs").cast("int") + last
     epochs = F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))
-    rows = joined.withColumn("_epoch", F.explode(epochs))
-    place = _order(seed, F.col("_epoch"), F.col("doc_id"))
+    rows = joined.withColumn(turn, F.explode(epochs))
+    place = _order(seed, F.col(turn), F.col("doc_id"))
     mark = F.struct(
-        F.col("_epoch").cast("long").alias("epoch"), place.alias("place"), size.alias("n_tokens"), F.col("_plan.weight").alias("weight")
+        F.col(turn).cast("long").alias("epoch"),
+        place.alias("place"),
+        F.col(size).cast("long").alias("n_tokens"),
+        F.col(f"{held}.weight").alias("weight"),
+        ((F.col(turn) + place / F.lit(TOP)) / F.col(f"{held}.passes")).alias("position"),
     )
-    return rows.withColumn("_mix", mark).drop("_plan", "_epoch")
+    return rows.withColumn(name, mark).drop(held, turn, size)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).select("doc_id", "source", "_mix.*")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", token_count(F.col("text")).alias("size"))
+    docs = materialise(docs, "sized")
+    return mix(docs, tokens=F.col("size")).select("doc_id", "source", "_mix.*")
 
 
 QUERIES = {"op6_mixing": op6_mixing}
