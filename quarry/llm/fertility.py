@@ -1,38 +1,45 @@
 """Quality rules by tokeniser fertility.
 
-Every word is encoded with public vocabularies: a byte-level one for the length of tokens and one with byte
-fallback for how much of a text it can only spell in bytes. Characters per token, the share of byte tokens
-and the entropy of the token distribution are held against bands of the text's main script. Plain
-repetition and length rules come before.
+Every word, with a space before it, is encoded with a public byte-level vocabulary, and every word by itself with a
+public vocabulary that has byte fallback. Per text: characters per token of the former; of the latter, the share of
+byte tokens, which is how much of the text it can only spell, and the entropy of the token distribution in bits.
+
+Each measure has a band of texts of the same main script and size (the whole part of the base-2 logarithm of the
+number of tokens, as short texts vary more and have less entropy). Bands come from all texts that pass the rules of
+length and repetition: from FENCE interquartile ranges below the first quartile to as many above the third, with a
+least range for each measure, so that a measure that hardly varies does not reject what is a hair away. Quartiles are
+mergeable summaries that tasks build side by side; only one row a script and size is broadcast.
 
 Words are maximal runs of characters other than space and U+0009 to U+000D.
 
-Cases: a null text has no words and fails the length rule; an empty one likewise. Texts of any length are
-read whole. Rows are independent of each other, so repeated rows get equal results.
+Cases: a null text has no words and fails the length rule; an empty one likewise. Texts of any length are read
+whole. Repeated rows get equal results and count each in the quartiles. Ids keep their type; other columns are
+ignored. A script and size with one text has a band around it, so it is kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import base64
+from collections import Counter
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialise, table
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
-#: Script: least and most characters per token, most byte tokens of all tokens, least bits of entropy per token
-#: as a share of the most that so many tokens can have.
-BANDS = {
-    "latin": (1.45, 6.5, 0.10, 0.60),
-    "cyrillic": (1.2, 6.5, 0.20, 0.50),
-    "greek": (0.6, 4.0, 0.60, 0.40),
-    "cjk": (0.3, 2.5, 0.80, 0.40),
-    "other": (0.3, 6.5, 0.90, 0.35),
-}
+#: Width of the bands in interquartile ranges, and for each measure: the least range, and whether low and high values
+#: are rejected. A text that the byte-fallback vocabulary can spell without bytes is never wrong for that.
+FENCE = 3.0
+MEASURES = {"chars_per_token": (0.05, True, True), "byte_share": (0.02, False, True), "token_entropy": (0.1, True, True)}
+#: Quartiles are right to one part in so many of the rows.
+ACCURACY = 10_000
+SCRIPTS = ("latin", "cyrillic", "greek", "cjk", "other")
 #: First code points of ranges, and the script of the letters from there on.
 RANGES = (
     (0x00, None), (0x41, "latin"), (0x5B, None), (0x61, "latin"), (0x7B, None), (0xAA, "latin"), (0x250, "other"),
@@ -44,46 +51,52 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 CACHED_WORDS = 300_000
 KIND = (
-    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean,"
-    " kept boolean, script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double"
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean,"
+    " script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double"
 )
 
 
-class Pieces:
-    """The pieces of words under a vocabulary with byte fallback, with a bounded cache."""
+class Vocabularies:
+    """Tokens of words under a byte-level vocabulary of ranks and under one with byte fallback, with a bounded cache."""
 
-    def __init__(self, path: str):
+    def __init__(self, ranks_path: str, pieces_path: str):
         import sentencepiece
+        import tiktoken
 
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.bytes = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
-        self.cache: dict[bytes, bytes] = {}
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
+        self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
+        self.cache: dict[str, tuple[int, list[int]]] = {}
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
+    def of(self, words) -> dict[str, tuple[int, list[int]]]:
+        """For each of the distinct words: the number of its byte-level tokens, and the ids of its pieces."""
         cache = self.cache
         missing = list(set(words).difference(cache))
         if len(cache) + len(missing) > CACHED_WORDS:
             cache.clear()
-            missing = list(set(words))
+            missing = list(words)
+        encode = self.ranks.encode_ordinary
         for at in range(0, len(missing), 10_000):
             part = missing[at : at + 10_000]
-            for w, ids in zip(part, self.model.encode([w.decode() for w in part], num_threads=1)):
-                cache[w] = np.array(ids, np.int32).tobytes()
-        return np.frombuffer(b"".join([cache[w] for w in words]), np.int32)
+            for w, ids in zip(part, self.pieces.encode(part, num_threads=1)):
+                cache[w] = len(encode(f" {w}")), ids
+        return cache
 
 
 @lru_cache(maxsize=2)
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
+def vocabularies(ranks_path: str, pieces_path: str) -> Vocabularies:
+    return Vocabularies(ranks_path, pieces_path)
 
 
 def main_script(text: str) -> str:
-    """The script of most letters; the earlier in BANDS where two have as many, "other" without letters."""
+    """The script of most letters; the earlier in SCRIPTS where two have as many, "other" without letters."""
     if text.isascii():
         return "latin" if any(c.isalpha() for c in text) else "other"
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     per_range = np.bincount(np.searchsorted([a for a, _ in RANGES], points, side="right") - 1, minlength=len(RANGES))
-    counts = {s: sum(int(n) for (_, t), n in zip(RANGES, per_range) if t == s) for s in BANDS}
+    counts = {s: sum(int(n) for (_, t), n in zip(RANGES, per_range) if t == s) for s in SCRIPTS}
     best = max(counts, key=counts.get)
     return best if counts[best] else "other"
 
@@ -118,54 +131,87 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def measure(text: str, model: Pieces, bands: dict = BANDS) -> dict:
+def measure(text: str, known: Vocabularies) -> dict:
     words = text.encode().split()
-    n, ids = len(words), model.ids(words)
+    n = len(words)
     chars = len(text) - sum(text.count(c) for c in SPACES)
     repeated = repeated_words(words)
-    failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
-    counts = np.unique(ids, return_counts=True)[1] if ids.size < 20_000 else np.bincount(ids)
-    share = counts[counts > 0] / max(1, ids.size)
-    entropy = float(-(share * np.log2(share)).sum()) if ids.size else 0.0
-    byte_share = float(model.bytes[ids].mean()) if ids.size else 0.0
-    per_token = chars / ids.size if ids.size else 0.0
-    script = main_script(text)
-    low, high, most_bytes, least = bands[script]
-    inside = low <= per_token <= high and byte_share <= most_bytes
-    inside = inside and entropy >= least * np.log2(max(2, min(ids.size, 1024)))
+    counts = {w.decode(): c for w, c in Counter(words).items()}
+    tokens = known.of(counts)
+    found = [(c, *tokens[w]) for w, c in counts.items()]
+    byte_level = sum([c * size for c, size, _ in found])
+    ids = np.fromiter(chain.from_iterable(pieces for _, _, pieces in found), np.int32)
+    times = np.repeat(np.array([c for c, _, _ in found], np.int64), np.array([len(p) for _, _, p in found], np.int64))
+    total = int(times.sum())
+    share = np.bincount(np.unique(ids, return_inverse=True)[1], times) / max(1, total)
     return {
         "n_words": n,
         "word_chars": chars,
         "n_symbols": sum(text.count(c) for c in SYMBOLS),
         "n_dup_lines": duplicate_lines(text),
         "n_repeat_words": repeated,
-        "base_failed": failed,
-        "kept": bool(not failed and inside),
-        "script": script,
-        "n_tokens": int(ids.size),
-        "chars_per_token": per_token,
-        "byte_share": byte_share,
-        "token_entropy": max(0.0, entropy),
+        "base_failed": n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n,
+        "script": main_script(text),
+        "n_tokens": byte_level,
+        "chars_per_token": chars / byte_level if byte_level else 0.0,
+        "byte_share": float(times[known.is_byte[ids]].sum()) / total if total else 0.0,
+        "token_entropy": max(0.0, float(-(share * np.log2(share)).sum())),
     }
 
 
-def quality_rules(docs: DataFrame, vocabulary: str | None = None, bands: dict = BANDS) -> DataFrame:
-    """One row of measures and verdicts for each row of docs(doc_id, text)."""
-    path = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
+def measures(docs: DataFrame, ranks: str | None = None, pieces: str | None = None) -> DataFrame:
+    """One row of measures for each row of docs(doc_id, text). ranks and pieces are files of the two vocabularies."""
+    paths = ranks or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pieces or public_tokenizers.path("piece_bpe_32k.model")
 
     def run(batches):
-        model = pieces(path)
+        known = vocabularies(*paths)
         for b in batches:
-            rows = [measure(t or "", model, bands) for t in b.column(1).to_pylist()]
+            rows = [measure(t.as_py() or "", known) for t in b.column(1)]
             columns = {k: [r[k] for r in rows] for k in rows[0]} if rows else {}
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), **columns})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, KIND)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KIND}")
+
+
+def size_class() -> Column:
+    return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int")
+
+
+def bands(measured: DataFrame, fence: float = FENCE) -> DataFrame:
+    """(script, size, and low and high of each measure) from all rows of measures() that pass the rules before."""
+    quartiles = [F.percentile_approx(m, [0.25, 0.75], ACCURACY).alias(m) for m in MEASURES]
+    found = measured.where("NOT base_failed").groupBy("script", size_class().alias("size")).agg(*quartiles)
+    edges = []
+    for m, (least, rejects_low, rejects_high) in MEASURES.items():
+        first, third = F.col(m)[0], F.col(m)[1]
+        reach = F.lit(fence) * F.greatest(third - first, F.lit(least))
+        edges += [(first - reach if rejects_low else F.lit(float("-inf"))).alias(f"low_{m}")]
+        edges += [(third + reach if rejects_high else F.lit(float("inf"))).alias(f"high_{m}")]
+    return found.select("script", "size", *edges)
+
+
+def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    """measured with kept, and with failed_bands: the measures that lie outside the text's band.
+
+    limits has a row for each script and size, so it is bounded by the five scripts and the bits of a number.
+    """
+    joined = measured.withColumn("size", size_class()).join(F.broadcast(limits), ["script", "size"], "left")
+    outside = [F.when((F.col(m) < F.col(f"low_{m}")) | (F.col(m) > F.col(f"high_{m}")), F.lit(m)) for m in MEASURES]
+    failed = F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*outside)))
+    kept = ~F.col("base_failed") & (F.size("failed_bands") == 0)
+    return joined.withColumn("failed_bands", failed).withColumn("kept", kept).select(*measured.columns, "kept", "failed_bands")
+
+
+def quality_rules(docs: DataFrame, ranks: str | None = None, pieces: str | None = None) -> DataFrame:
+    """One row of measures and verdicts for each row of docs(doc_id, text), by the bands of these very texts."""
+    measured = materialise(measures(docs, ranks, pieces), "measures")
+    return judged(measured, materialise(bands(measured), "bands"))
 
 
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    out = quality_rules(table(spark, sf_dir, "documents"))
+    return out.withColumn("failed_bands", F.array_join("failed_bands", ","))
 
 
 QUERIES = {"op4_fertility": op4_fertility}
