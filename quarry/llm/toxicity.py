@@ -2,20 +2,23 @@
 
 A text is a chain of words with two states, clean and toxic. The field has weights for hashed features of each
 word (the word, its beginnings and ends, its shape) and for the transitions between states. Labels mark whole
-documents; words become labelled through units (words and beginnings of words) that stand in toxic documents
-far more than in clean ones: inside a toxic document such words are toxic, all other words are clean. Copies of
-one document count once, or every rare word of a toxic text that was copied would look toxic; a copy is a text
-whose runs of five words have a Jaccard similarity of half or more with those of a text of its label that counts.
+documents: a clean one has clean words only, a toxic one has a toxic word at least. Which words those are is found in
+two steps. First, units (words and beginnings of words) that stand in toxic documents far more than in clean ones
+mark words; toxic documents that are explained so no longer count, and the rest are searched for units again, until
+none is found. Then the field is fitted to these tags, and tags are taken anew from its own marginals under the
+constraint that a toxic document has a toxic word, and it is fitted again. Copies of one document count once, or every
+rare word of a toxic text that was copied would look toxic; a copy is a text whose runs of five words have a Jaccard
+similarity of half or more with those of a text of its label that counts.
 Forward-backward gives every word's marginal, from which come the offending offsets and, through a logistic
 function fitted on the documents of the sample, the document's score.
 
-The fit takes a bounded sample: at most SAMPLE toxic and 2 * SAMPLE clean labelled documents of at most
-SAMPLE_CHARS characters, those whose ids hash lowest. Scoring reads every whole text. Labels, language, source
-and id are never inputs of a score.
+The fit takes a bounded sample: at most SAMPLE toxic and 2 * SAMPLE clean labelled documents, whole and of any
+length, those whose ids hash lowest. Scoring reads every whole text. Labels, language, source and id are never inputs
+of a score.
 
 Cases: a null or empty text has no words and gets the score of a text without any toxic word. Labels that are
 null are left out; a document with contradicting labels counts as toxic. With no toxic or no clean document in
-the sample, every score is the same and below 0.5. Repeated rows get equal scores.
+the sample, or no word to tell them apart, every score is the same and below 0.5. Repeated rows get equal scores.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-SAMPLE, SAMPLE_CHARS = 1500, 20_000
+SAMPLE = 1500
 #: Hashed features; words of a training chain; chains kept of clean text for each chain with a toxic word.
 SIZE, CHAIN, CLEAN_CHAINS = 1 << 17, 24, 2
 #: Chains that the fit holds in floating point at once.
@@ -41,6 +44,11 @@ FIT_CHAINS = 2048
 #: A unit marks toxic words if it stands in this many toxic documents, this many times as often as in clean ones,
 #: and its counts are less likely by chance than exp(-LEAST_NATS).
 LEAST_DOCS, LEAST_RATIO, LEAST_NATS = 3, 12.0, 8.0
+#: A toxic document in which the field gives a toxic word less chance than this is taken for wrongly labelled.
+LEAST_CHANCE = 1e-3
+#: Lengths of the beginnings of words that are units and features; times that tags are taken anew from
+#: the field, and steps of the fit to them.
+BEGINNINGS, ENDS, ROUNDS, ANEW = range(3, 9), range(3, 5), 1, 20
 #: Copies in the sample share this part of their runs of so many words; candidates share one of so many least hashes.
 COPY, RUN, HASHES = 0.5, 5, 8
 WORD = re.compile(r"\w+")
@@ -50,13 +58,14 @@ SPANS = "array<struct<start:bigint,stop:bigint,p:double>>"
 
 def units(word: str) -> list[str]:
     w = word.lower()
-    return [w, *(w[:n] + "~" for n in (4, 5, 6) if len(w) > n)]
+    return [w, *(w[:n] + "~" for n in BEGINNINGS if len(w) > n)]
 
 
 def features(word: str) -> list[int]:
     w = word.lower()
     shape = "A" if word.isupper() and len(word) > 1 else "a" if word.isalpha() else "0"
-    names = ["bias", f"w={w}", f"s={shape}", *(f"b{n}={w[:n]}" for n in (3, 4, 5, 6) if len(w) >= n), *(f"e{n}={w[-n:]}" for n in (3, 4) if len(w) >= n)]
+    names = ["bias", f"w={w}", f"s={shape}"]
+    names += [f"b{n}={w[:n]}" for n in BEGINNINGS if len(w) >= n] + [f"e{n}={w[-n:]}" for n in ENDS if len(w) >= n]
     return [zlib.crc32(x.encode()) % SIZE for x in names]
 
 
@@ -112,7 +121,7 @@ class Model:
 def sample(docs: DataFrame, labels: DataFrame, keep: Column, size: int) -> list[tuple[str, int]]:
     """Bounded sample of (text, toxic): the documents with the lowest hashes of each label."""
     one = labels.where(F.col("toxic").isNotNull() & keep).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = []
     for toxic, most in ((1, size), (0, 2 * size)):
         # the ids are bounded before the texts are read
@@ -161,28 +170,35 @@ def surprise(n: int, total: int, rate: float) -> float:
 
 
 def toxic_units(rows: list[tuple[str, int]]) -> set[str]:
-    docs = [sum(y == label for _, y in rows) for label in (0, 1)]
+    """Units that explain toxic documents: of all of them first, then of those that have none of the units found."""
 
-    def counted(label: int, among: set[str] | None = None) -> Counter:
+    def counted(texts, among: set[str] | None = None) -> Counter:
         out = Counter()
-        for text, toxic in rows:
-            if toxic == label:
-                found = {u for w in set(WORD.findall(text)) for u in units(w)}
-                out.update(found if among is None else found & among)
+        for text in texts:
+            found = {u for w in set(WORD.findall(text)) for u in units(w)}
+            out.update(found if among is None else found & among)
         return out
 
-    bad = {u: n for u, n in counted(1).items() if n >= LEAST_DOCS}
-    clean = counted(0, set(bad))  # only these: the driver need not hold the words of clean texts
-    rate, share = (docs[0] + 1) / (docs[1] + 1), (docs[1] + 1) / (sum(docs) + 2)
-    frequent = {u: n for u, n in bad.items() if n * rate >= LEAST_RATIO * (clean[u] + 0.5 * rate)}
-    return {u for u, n in frequent.items() if surprise(n, n + clean[u], share) >= LEAST_NATS}
-
-
-def chains(rows: list[tuple[str, int]], marked: set[str]) -> list[tuple[list[str], list[int]]]:
+    left, n_clean = [t for t, toxic in rows if toxic], sum(not toxic for _, toxic in rows)
+    marked, clean = set(), None
+    while left:
+        bad = {u: n for u, n in counted(left).items() if n >= LEAST_DOCS}
+        if clean is None:  # only these: the driver need not hold the words of clean texts
+            clean = counted((t for t, toxic in rows if not toxic), set(bad))
+        rate, share = (n_clean + 1) / (len(left) + 1), (len(left) + 1) / (len(left) + n_clean + 2)
+        frequent = {u: n for u, n in bad.items() if n * rate >= LEAST_RATIO * clean[u]}
+        new = {u for u, n in frequent.items() if surprise(n, n + clean[u], share) >= LEAST_NATS}
+        if not new:
+            break
+        marked |= new
+        left = [t for t in left if not any(not marked.isdisjoint(units(w)) for w in set(WORD.findall(t)))]
+    return marked
+
+
+def chains(docs: list[tuple[list[str], list[int]]]) -> list[tuple[list[str], list[int]]]:
+    """docs(words, tags) cut into chains: all that hold a toxic word, and CLEAN_CHAINS times as many others, evenly."""
     toxic, clean = [], []
-    for text, label in rows:
-        words = WORD.findall(text)
-        tags = [int(bool(label) and not marked.isdisjoint(units(w))) for w in words]
+    for words, tags in docs:
         for at in range(0, len(words), CHAIN):
             part = (words[at : at + CHAIN], tags[at : at + CHAIN])
             (toxic if any(part[1]) else clean).append(part)
@@ -190,29 +206,37 @@ def chains(rows: list[tuple[str, int]], marked: set[str]) -> list[tuple[list[str
     return toxic + clean[::step]
 
 
+def constrained(marginals: list[float]) -> list[int]:
+    """Tags of a toxic document: words that are toxic with a chance of half or more, given that one at least is."""
+    none = math.exp(sum(math.log1p(-min(p, 1 - 1e-9)) for p in marginals))
+    return [int(p >= 0.5 * (1 - none)) for p in marginals] if none < 1 - LEAST_CHANCE else [0] * len(marginals)
+
+
 def expected(emission: np.ndarray, moves: np.ndarray, tags: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward over chains of equal length: tag less marginal of each word, and expected transitions."""
+    """Forward-backward over chains side by side, in odds of the toxic state: tag less marginal of each word, and
+    expected transitions. All of shape (chains, words); on marks words, which come before what fills a chain up."""
     n, longest = emission.shape
-    score = np.zeros((n, longest, 2))
-    score[:, :, 1] = emission
-    ahead, back = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-    ahead[:, 0] = score[:, 0]
+    e, on = np.exp(np.clip(emission.T, -30.0, 30.0)), on.T
+    (m00, m01), (m10, m11) = np.exp(moves)
+    ahead, onward = np.empty((longest, n)), np.empty((longest, n))
+    ahead[0] = e[0]
     for k in range(1, longest):
-        new = np.logaddexp(ahead[:, k - 1, :1] + moves[0], ahead[:, k - 1, 1:] + moves[1]) + score[:, k]
-        ahead[:, k] = np.where(on[:, k, None], new, ahead[:, k - 1])
-    for k in range(longest - 2, -1, -1):
-        s = score[:, k + 1] + back[:, k + 1]
-        new = np.logaddexp(moves[:, 0] + s[:, :1], moves[:, 1] + s[:, 1:])
-        back[:, k] = np.where(on[:, k + 1, None], new, 0.0)
-    total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-    p = np.exp(ahead + back - total[:, None, None])
-    s = (score + back)[:, 1:, None, :] + ahead[:, :-1, :, None] + moves - total[:, None, None, None]
-    return np.where(on, tags - p[:, :, 1], 0.0), (np.exp(s) * on[:, 1:, None, None]).sum(axis=(0, 1))
-
-
-def fit_field(data: list[tuple[list[str], list[int]]], rounds: int = 60, rate: float = 0.15, decay: float = 1e-6) -> Model:
-    """Full-batch Adam on the likelihood of the tags; FIT_CHAINS chains advance together, one word at a time."""
-    n, longest, wide = len(data), CHAIN, 9
+        ahead[k] = e[k] * (m01 + m11 * ahead[k - 1]) / (m00 + m10 * ahead[k - 1])
+    back = np.ones(n)
+    for k in range(longest - 1, -1, -1):
+        onward[k] = e[k] * back  # odds of the word and all after it
+        back = np.where(on[k], (m10 + m11 * onward[k]) / (m00 + m01 * onward[k]), 1.0)
+        ahead[k] *= onward[k] / e[k]
+    before, y = ahead[:-1] * e[:-1] / np.maximum(onward[:-1], 1e-300), onward[1:]
+    pairs = np.stack([np.broadcast_to(m00, y.shape), m01 * y, m10 * before, m11 * before * y])
+    pairs = (pairs / pairs.sum(axis=0) * on[1:]).sum(axis=(1, 2)).reshape(2, 2)
+    return np.where(on, tags.T - ahead / (1 + ahead), 0.0).T, pairs
+
+
+def fit_field(data: list[tuple[list[str], list[int]]], rounds: int = 60, rate: float = 0.15, decay: float = 1e-6, start: Model | None = None) -> Model:
+    """Full-batch Adam on the likelihood of the tags, from zero or from another field; FIT_CHAINS chains advance
+    together, one word at a time."""
+    n, longest, wide = len(data), CHAIN, 3 + len(BEGINNINGS) + len(ENDS)
     # place of each word of a chain in the vocabulary, whose last entry has no features
     place = np.full((n, longest), -1, np.int32)
     tags, on = np.zeros((n, longest), np.int8), np.zeros((n, longest), bool)
@@ -229,6 +253,9 @@ def fit_field(data: list[tuple[list[str], list[int]]], rounds: int = 60, rate: f
     used, index = np.unique(index, return_inverse=True)
     index, pad = index.reshape(-1, wide), used.size - 1
     theta = np.zeros(used.size + 1 + 4)
+    if start is not None:
+        theta[: used.size][used < SIZE] = start.weights[used[used < SIZE]]
+        theta[-4:] = start.moves.ravel()
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     true_moves = np.zeros((2, 2))
     both = on[:, 1:]
@@ -270,8 +297,16 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, size: int = SAMPLE) ->
     rows = without_copies(sample(docs, labels, keep, size))
     if len({t for _, t in rows}) < 2 or not (marked := toxic_units(rows)):
         return Model(np.zeros(SIZE), np.zeros((2, 2)), (0.0, -3.0))
-    model = fit_field(chains(rows, marked))
-    evidence = np.array([model.evidence(model.marginals(WORD.findall(t))) for t, _ in rows])
+    words = [WORD.findall(text) for text, _ in rows]
+    tags = [[int(bool(y) and not marked.isdisjoint(units(w))) for w in ws] for ws, (_, y) in zip(words, rows)]
+    model = fit_field(chains(list(zip(words, tags))))
+    for _ in range(ROUNDS):
+        anew = [constrained(model.marginals(ws)) if y else [0] * len(ws) for ws, (_, y) in zip(words, rows)]
+        if anew == tags or not any(map(any, anew)):
+            break
+        tags = anew
+        model = fit_field(chains(list(zip(words, tags))), ANEW, start=model)
+    evidence = np.array([model.evidence(model.marginals(ws)) for ws in words])
     model.line = logistic(evidence, np.array([y for _, y in rows], float))
     model.cache.clear()
     return model
