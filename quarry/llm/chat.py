@@ -12,8 +12,8 @@ Rows are dealt by conversation and sorted by turn; one conversation is in memory
 be encoded once.
 
 Cases: a null text or role is empty. Turns with the same number are ordered by role, then text; repeated rows
-are turns of their own. A null turn comes first, and rows without conv_id are one conversation. An empty table
-gives an empty result. Other columns are ignored.
+are turns of their own. A null turn comes first, and rows without conv_id are one conversation. A conversation of
+empty texts carries no loss. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,6 +88,11 @@ def tokenizer(path: str):
     return out
 
 
+def values(column: pa.Array):
+    """One Python value after another, so that a batch is never held twice."""
+    return (x.as_py() for x in column)
+
+
 def align(offsets: list[tuple[int, int]], spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(loss, from, to) for each token: whether it meets a span, and the characters of the span that it adds.
 
@@ -114,15 +119,18 @@ def format_chats(conversations: DataFrame, vocabulary: str | None = None, loss_r
     def encoded(conv_id, turns):
         text, spans = render(turns, loss_roles)
         e = tokenizer(path).encode(text, add_special_tokens=False)
-        return (conv_id, text, e.ids, *align(e.offsets, spans))
+        return (conv_id, text, np.array(e.ids, np.int32), *align(e.offsets, spans))
 
     def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), KIND)], schema=KIND)
+        conv_ids, texts, *per_token = zip(*rows)
+        ends = pa.array(np.cumsum([0, *map(len, per_token[0])]), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(c), f.type.value_type)) for c, f in zip(per_token, list(KIND)[2:])]
+        return pa.RecordBatch.from_arrays([pa.array(conv_ids, pa.int64()), pa.array(texts, pa.string()), *lists], schema=KIND)
 
     def run(batches):
         rows, chars, conv, turns = [], 0, None, []
         for b in batches:
-            for i, role, text in zip(*(b.column(k).to_pylist() for k in (0, 2, 3))):
+            for i, role, text in zip(*(values(b.column(k)) for k in (0, 2, 3))):
                 if turns and i != conv:
                     rows.append(encoded(conv, turns))
                     chars, turns = chars + len(rows[-1][1]), []
@@ -149,21 +157,20 @@ def digests(formatted: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            out = []
-            for conv_id, text, _, loss, frm, to in zip(*(c.to_pylist() for c in b.columns)):
+            out, ends = [], b.column(2).offsets.to_numpy()
+            loss, frm, to = (b.column(k).flatten().to_numpy(zero_copy_only=False) for k in (3, 4, 5))
+            ends = ends - ends[0] if len(ends) else ends
+            for k, (conv_id, text) in enumerate(zip(values(b.column(0)), values(b.column(1)))):
                 turns = read_back(text)
                 whole = hashlib.sha256()
                 for role, said in turns:
                     whole.update(f"{role}\n{said}\n".encode())
-                runs, last = [], None
-                for a, e, on in zip(frm, to, loss):
-                    if on and a < e:
-                        if a == last:
-                            runs[-1][1] = e
-                        else:
-                            runs.append([a, e])
-                        last = e
-                learnt = "".join(unescape(text[a:e]) for a, e in runs)
+                own = slice(ends[k], ends[k + 1])
+                on = loss[own] & (frm[own] < to[own])
+                a, e = frm[own][on], to[own][on]
+                apart = a[1:] != e[:-1]  # a run of tokens ends where the next one does not go on from it
+                firsts, lasts = a[np.concatenate([[True], apart])[: a.size]], e[np.concatenate([apart, [True]])[: e.size]]
+                learnt = "".join([unescape(text[i:j]) for i, j in zip(firsts.tolist(), lasts.tolist())])
                 out.append((conv_id, len(turns), whole.hexdigest(), len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(text)))
             names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
