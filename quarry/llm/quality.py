@@ -14,7 +14,8 @@ among positives, and where scores are low that bound is close.
 
 Cases: a null or empty text has its own feature values and a score like any other. Null labels are left out;
 where a document has several labels, each counts. Without positives or without unlabelled texts every score
-is 0.5. Repeated rows get equal scores.
+is 0.5. Repeated rows get equal scores. Ids keep their type; other columns are ignored. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ def shapes_of(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            rows = [shape(t or "") for t in b.column(1).to_pylist()]
+            rows = [shape(t.as_py() or "") for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "shape"])
 
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
@@ -176,29 +177,32 @@ def class_prior(counts: np.ndarray) -> float:
     return float(np.clip(((u / np.maximum(p, 1e-9)) * (1 + margin))[enough].min(), 0.02, 0.98))
 
 
+def risk(w: np.ndarray, mean: np.ndarray, outer: np.ndarray, sign: int) -> tuple[float, np.ndarray]:
+    """E[(1 + sign * g)^2 / 4] for g = x @ w, and its gradient, from the mean of x and of its outer product."""
+    return (1 + 2 * sign * mean @ w + w @ outer @ w) / 4, (sign * mean + outer @ w) / 2
+
+
+def objective(w: np.ndarray, prior: float, mean_p, outer_p, mean_u, outer_u) -> tuple[float, float, np.ndarray]:
+    """(non-negative risk with its ridge, unlabelled part before it is held at zero, direction to descend against)."""
+    r_p, d_p = risk(w, mean_p, outer_p, -1)
+    n_p, e_p = risk(w, mean_p, outer_p, 1)
+    n_u, e_u = risk(w, mean_u, outer_u, 1)
+    rest, slope = n_u - prior * n_p, e_u - prior * e_p
+    # a negative rest is below what a loss can be: climb back
+    way = prior * d_p + slope if rest >= 0 else -slope
+    return prior * r_p + max(0.0, rest) + RIDGE * w @ w / 4, rest, way + RIDGE * w / 2
+
+
 def minimise(prior: float, mean_p, outer_p, mean_u, outer_u, rounds: int = 300) -> np.ndarray:
     """Non-negative risk by descent in the metric of the unlabelled moments, from the minimum of the unbiased risk."""
-    metric = np.linalg.inv(outer_u + RIDGE * np.eye(WIDTH))
+    metric = np.linalg.inv(outer_u + RIDGE * np.eye(len(mean_u)))
     w = metric @ (2 * prior * mean_p - mean_u)
-
-    def risk(mean, outer, sign, w):
-        """E[(1 + sign * g)^2 / 4] and its gradient."""
-        return (1 + 2 * sign * mean @ w + w @ outer @ w) / 4, (sign * mean + outer @ w) / 2
-
     best, best_w = np.inf, w
     for _ in range(rounds):
-        r_p, d_p = risk(mean_p, outer_p, -1, w)
-        n_p, e_p = risk(mean_p, outer_p, 1, w)
-        n_u, e_u = risk(mean_u, outer_u, 1, w)
-        negative = n_u - prior * n_p
-        total = prior * r_p + max(0.0, negative) + RIDGE * w @ w / 4
+        total, _, way = objective(w, prior, mean_p, outer_p, mean_u, outer_u)
         if total < best - 1e-12:
             best, best_w = total, w
-        if negative >= 0:
-            grad = prior * d_p + e_u - prior * e_p
-        else:  # the unlabelled part has gone below what a loss can be: climb back
-            grad = -(e_u - prior * e_p)
-        w = w - 0.2 * metric @ (grad + RIDGE * w / 2)
+        w = w - 0.2 * metric @ way
     return best_w
 
 

@@ -6,7 +6,8 @@ classes. The pass over a text notes where a rule first accepts; for these few pl
 reversed and forward automata, compiled in the same way, give the leftmost start and the longest end.
 Matches of a rule never overlap. A match below its rule's lengths is dropped but stays consumed.
 
-Cases: a null or empty text has no spans. Offsets are code points, ends exclusive.
+Cases: a null or empty text has no spans. Offsets are code points, ends exclusive. Rows are independent of each other,
+so repeated rows get equal spans. Ids keep their type; other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -232,7 +233,7 @@ def find_secrets(docs: DataFrame, rules: tuple = RULES, id_col: str = "doc_id",
     def run(batches):
         for b in batches:
             found = [
-                [{"kind": k, "start": a, "stop": e} for k, a, e in spans(t or b"", rules)] for t in b.column(1).to_pylist()
+                [{"kind": k, "start": a, "stop": e} for k, a, e in spans(t.as_py() or b"", rules)] for t in b.column(1)
             ]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], ["doc_id", "spans"])
 
