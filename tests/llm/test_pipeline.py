@@ -1,23 +1,76 @@
+import random
+import struct
+import zlib
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from quarry.llm import decontaminate, simhash
+from quarry.llm import decontaminate, mixing
+
+from . import brute
+from .test_mixing_plan import plain
+
+
+def _plant(folder, spark):
+    """Documents of invented words, of which some are toxic, some copies of others, and some hold a benchmark item."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("aeiourstlnm") for _ in range(rng.randint(2, 7))) for _ in range(700)]
+    said = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(k, said(9)) for k in range(4)]
+    texts, toxic = [said(rng.randint(25, 60)) for _ in range(160)], set(range(0, 160, 5))
+    for k in toxic:
+        texts[k] += f" {rng.choice(('vile', 'rotten'))} {said(5)}"
+    for k in range(1, 160, 16):
+        texts[k] = texts[k + 1] = texts[k]  # copies
+    for k in range(3, 160, 20):
+        item = items[k % 4][1]
+        texts[k] += f" {item[:10]}x{item[11:]}"  # one edit
+    docs = [(k, t, None, "aaaaabbc"[k % 8], len(t)) for k, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(k, 1, int(k in toxic)) for k in range(160)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return dict(enumerate(texts)), dict(items)
+
+
+def test_every_stage_against_a_plain_version(spark, tmp_path):
+    folder = str(tmp_path)
+    texts, items = _plant(folder, spark)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
+    stage = dict(corpus_pipeline.STAGES)
+
+    left = stage["toxicity"](spark, docs, folder)
+    expected = [i for i, t in texts.items() if not {"vile", "rotten"} & set(t.split())]
+    assert left.columns == docs.columns and ids(left) == expected and len(expected) < len(texts)
+
+    left = stage["near_dedup"](spark, left, folder)
+    expected, before = sorted(set(brute.classes({i: brute.fingerprint(texts[i]) for i in expected}).values())), expected
+    assert left.columns == docs.columns and ids(left) == expected and len(expected) < len(before)
+
+    left = stage["decontaminate"](spark, left, folder)
+    leaks = lambda i: any(brute.nearest(x, texts[i]) <= int(decontaminate.RATE * len(x)) for x in items.values())
+    expected, before = [i for i in expected if not leaks(i)], expected
+    assert left.columns == docs.columns and ids(left) == expected and len(expected) < len(before)
 
+    mixed = stage["mixing"](spark, left, folder)
+    encode = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode
+    tokens = {i: encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+    rows, _ = plain([(i, "aaaaabbc"[i % 8], len(tokens[i])) for i in expected], mixing.MAX_REPETITION)
+    assert mixed.columns == docs.columns and ids(mixed) == [i for i, _ in rows] and len(rows) > len(expected)
 
-def test_stages(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf)
-    assert kept.columns == docs.columns
-    assert kept.count() == simhash.near_duplicates(docs).select("component_id").distinct().count()
-    clean = corpus_pipeline.drop_leaks(spark, kept, sf)
-    leaks = decontaminate.find_leaks(kept, spark.read.parquet(f"{sf}/benchmark.parquet")).select("doc_id").distinct()
-    assert clean.count() == kept.count() - leaks.count()
-    mixed = corpus_pipeline.mix_sources(spark, clean, sf)
-    assert mixed.select("doc_id").distinct().count() == clean.count()
-    assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    start, whole = 0, []
+    for i, _ in rows:
+        data = struct.pack(f"<{len(tokens[i]) + 1}I", *tokens[i], 1)
+        whole.append((i, start, len(data) // 4, zlib.crc32(data)))
+        start += len(data) // 4
+    assert sorted(map(tuple, stage["token_output"](spark, mixed, folder).collect())) == whole
+    assert sorted(map(tuple, corpus_pipeline.run(spark, folder).collect())) == whole
 
 
 LEAK = "the quick brown fox jumps over the lazy dog while seven wizards quietly mix strange potions"
 #: Columns of documents, and names that the stages use themselves.
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double, count long, component_id long, tokens long, place long, block long, weight double, item_id long, start long"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double, count long, component_id long, tokens long, place long, block long, weight double, item_id long, start long, _toxicity double, _Digest string, _mix int, _plan int, _epoch int, _size int, _place int, shard int"
 
 
 def _folder(spark, folder):
