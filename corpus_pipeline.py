@@ -7,7 +7,9 @@ mixing         documents are repeated as the temperature mixture asks; none is l
 token_output   token files are written; one row for each document that is read back
 
 A row without doc_id is kept by near_dedup only where its component has no id at all, and then once for each such
-component. Rows of one id with texts in different components are different documents.
+component. Rows of one id with texts in different components are different documents. Ids are whole numbers, as
+token files hold them. Null and empty texts are one component. Columns beyond those of documents, whatever their
+names, pass through all stages but the last. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -16,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, mixing, simhash, token_files, toxicity
-from quarry.llm.common import materialise, table
+from quarry.llm.common import materialise, table, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    rated = docs.withColumn("_toxicity", toxicity.toxicity_column(F.col("text"), spark, model))
-    return rated.where(F.col("_toxicity.score") < 0.5).drop("_toxicity")
+    held = unused(docs, "_toxicity")
+    rated = docs.withColumn(held, toxicity.toxicity_column(F.col("text"), spark, model))
+    return rated.where(F.col(f"{held}.score") < 0.5).drop(held)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +37,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).drop("_mix")
+    held = unused(docs, "_mix")
+    return mixing.mix(docs, name=held).drop(held)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +52,7 @@ STAGES = [
     ("mixing", mix_sources),
     ("token_output", write_tokens),
 ]
-#: Trained and iterated stages have no SQL; tests hold the pipeline against a brute-force version.
+#: Trained and iterated stages have no SQL; tests hold every stage against a plain version of what it decides.
 ORACLE_SQL = None
 
 
