@@ -5,7 +5,8 @@ word (the word, its beginnings and ends, its shape) and for the transitions betw
 documents: a clean one has clean words only, a toxic one has a toxic word at least. Which words those are is found in
 two steps. First, units (words and beginnings of words) that stand in toxic documents far more than in clean ones
 mark words; toxic documents that are explained so no longer count, and the rest are searched for units again, until
-none is found. Then the field is fitted to these tags, and tags are taken anew from its own marginals under the
+none is found. What stands between the same two words in several texts, as in passages that they share, counts once.
+Then the field is fitted to these tags, and tags are taken anew from its own marginals under the
 constraint that a toxic document has a toxic word, and it is fitted again. Copies of one document count once, or every
 rare word of a toxic text that was copied would look toxic; a copy is a text whose runs of five words have a Jaccard
 similarity of half or more with those of a text of its label that counts.
@@ -169,25 +170,53 @@ def surprise(n: int, total: int, rate: float) -> float:
     return total * (p * math.log(p / rate) + rest) if p > rate else 0.0
 
 
+def in_new_places(texts: list[str]):
+    """For each text, its words that stand between a pair of words between which no text before has them.
+
+    Passages that texts share hold the same words at the same places, so they count once; what is put into texts
+    of their own counts for each.
+    """
+    seen = np.zeros(1 << 25, bool)
+    for text in texts:
+        words = ["", *WORD.findall(text.lower()), ""]
+        places = [zlib.crc32(" ".join(words[k - 1 : k + 2]).encode()) % seen.size for k in range(1, len(words) - 1)]
+        yield {w for w, old in zip(words[1:-1], seen[places].tolist() if places else ()) if not old}
+        seen[places] = True
+
+
 def toxic_units(rows: list[tuple[str, int]]) -> set[str]:
     """Units that explain toxic documents: of all of them first, then of those that have none of the units found."""
 
-    def counted(texts, among: set[str] | None = None) -> Counter:
+    def units_of(words) -> set[str]:
+        return {u for w in words for u in units(w)}
+
+    def counted(words, among: set[str]) -> Counter:
         out = Counter()
-        for text in texts:
-            found = {u for w in set(WORD.findall(text)) for u in units(w)}
-            out.update(found if among is None else found & among)
+        for own in words:
+            out.update(units_of(own) & among)
+        return out
+
+    def repeated(texts: list[str]) -> set[str]:
+        """Units of LEAST_DOCS texts or more, and few others: sums over hashes leave most of the rest out unseen."""
+        sums, out = np.zeros(1 << 22, np.int32), set()
+        slots = lambda found: np.fromiter((zlib.crc32(u.encode()) % sums.size for u in found), np.int64, len(found))
+        for own in in_new_places(texts):
+            np.add.at(sums, slots(units_of(own)), 1)
+        for own in in_new_places(texts):
+            found = list(units_of(own))
+            out.update(found[i] for i in np.flatnonzero(sums[slots(found)] >= LEAST_DOCS))
         return out
 
     left, n_clean = [t for t, toxic in rows if toxic], sum(not toxic for _, toxic in rows)
     marked, clean = set(), None
     while left:
-        bad = {u: n for u, n in counted(left).items() if n >= LEAST_DOCS}
+        bad = {u: n for u, n in counted(in_new_places(left), repeated(left)).items() if n >= LEAST_DOCS}
         if clean is None:  # only these: the driver need not hold the words of clean texts
-            clean = counted((t for t, toxic in rows if not toxic), set(bad))
-        rate, share = (n_clean + 1) / (len(left) + 1), (len(left) + 1) / (len(left) + n_clean + 2)
-        frequent = {u: n for u, n in bad.items() if n * rate >= LEAST_RATIO * clean[u]}
-        new = {u for u, n in frequent.items() if surprise(n, n + clean[u], share) >= LEAST_NATS}
+            clean = counted((set(WORD.findall(t)) for t, toxic in rows if not toxic), set(bad))
+            rate = (n_clean + 1) / (len(left) + 1)
+            frequent = {u for u, n in bad.items() if n * rate >= LEAST_RATIO * clean[u]}  # of all toxic documents
+        share = (len(left) + 1) / (len(left) + n_clean + 2)
+        new = {u for u, n in bad.items() if u in frequent and surprise(n, n + clean[u], share) >= LEAST_NATS}
         if not new:
             break
         marked |= new
@@ -195,7 +224,7 @@ def toxic_units(rows: list[tuple[str, int]]) -> set[str]:
     return marked
 
 
-def chains(docs: list[tuple[list[str], list[int]]]) -> list[tuple[list[str], list[int]]]:
+def chains(docs: list[tuple[list[str], bytes]]) -> list[tuple[list[str], bytes]]:
     """docs(words, tags) cut into chains: all that hold a toxic word, and CLEAN_CHAINS times as many others, evenly."""
     toxic, clean = [], []
     for words, tags in docs:
@@ -206,10 +235,10 @@ def chains(docs: list[tuple[list[str], list[int]]]) -> list[tuple[list[str], lis
     return toxic + clean[::step]
 
 
-def constrained(marginals: list[float]) -> list[int]:
+def constrained(marginals: list[float]) -> bytes:
     """Tags of a toxic document: words that are toxic with a chance of half or more, given that one at least is."""
     none = math.exp(sum(math.log1p(-min(p, 1 - 1e-9)) for p in marginals))
-    return [int(p >= 0.5 * (1 - none)) for p in marginals] if none < 1 - LEAST_CHANCE else [0] * len(marginals)
+    return bytes(none < 1 - LEAST_CHANCE and p >= 0.5 * (1 - none) for p in marginals)
 
 
 def expected(emission: np.ndarray, moves: np.ndarray, tags: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -233,7 +262,7 @@ def expected(emission: np.ndarray, moves: np.ndarray, tags: np.ndarray, on: np.n
     return np.where(on, tags.T - ahead / (1 + ahead), 0.0).T, pairs
 
 
-def fit_field(data: list[tuple[list[str], list[int]]], rounds: int = 60, rate: float = 0.15, decay: float = 1e-6, start: Model | None = None) -> Model:
+def fit_field(data: list[tuple[list[str], bytes]], rounds: int = 60, rate: float = 0.15, decay: float = 1e-6, start: Model | None = None) -> Model:
     """Full-batch Adam on the likelihood of the tags, from zero or from another field; FIT_CHAINS chains advance
     together, one word at a time."""
     n, longest, wide = len(data), CHAIN, 3 + len(BEGINNINGS) + len(ENDS)
@@ -242,7 +271,7 @@ def fit_field(data: list[tuple[list[str], list[int]]], rounds: int = 60, rate: f
     tags, on = np.zeros((n, longest), np.int8), np.zeros((n, longest), bool)
     known: dict[str, int] = {}
     for i, (words, marks) in enumerate(data):
-        tags[i, : len(words)], on[i, : len(words)] = marks, True
+        tags[i, : len(words)], on[i, : len(words)] = list(marks), True
         place[i, : len(words)] = [known.setdefault(w, len(known)) for w in words]
     index = np.full((len(known) + 1, wide), SIZE, np.int32)
     for w, i in known.items():
@@ -297,11 +326,14 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, size: int = SAMPLE) ->
     rows = without_copies(sample(docs, labels, keep, size))
     if len({t for _, t in rows}) < 2 or not (marked := toxic_units(rows)):
         return Model(np.zeros(SIZE), np.zeros((2, 2)), (0.0, -3.0))
-    words = [WORD.findall(text) for text, _ in rows]
-    tags = [[int(bool(y) and not marked.isdisjoint(units(w))) for w in ws] for ws, (_, y) in zip(words, rows)]
+    pool: dict[str, str] = {}  # a word is held once, however often it stands in the sample
+    words = [[pool.setdefault(w, w) for w in WORD.findall(text)] for text, _ in rows]
+    toxic = {w for w in pool if not marked.isdisjoint(units(w))}
+    pool.clear()
+    tags = [bytes(bool(y) and w in toxic for w in ws) for ws, (_, y) in zip(words, rows)]
     model = fit_field(chains(list(zip(words, tags))))
     for _ in range(ROUNDS):
-        anew = [constrained(model.marginals(ws)) if y else [0] * len(ws) for ws, (_, y) in zip(words, rows)]
+        anew = [constrained(model.marginals(ws)) if y else bytes(len(ws)) for ws, (_, y) in zip(words, rows)]
         if anew == tags or not any(map(any, anew)):
             break
         tags = anew

@@ -49,6 +49,15 @@ def test_explained_documents_no_longer_count():
     assert toxicity.surprise(4, 4, 125 / 626) < toxicity.LEAST_NATS < toxicity.surprise(4, 4, 5 / 506)
 
 
+def test_shared_passages_count_once():
+    rng = np.random.default_rng(5)
+    said = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 4000, n))
+    rows = [(f"{said(30)} vile {said(30)} here stands one common passage {said(5)}", 1) for _ in range(60)] + [(said(60), 0) for _ in range(300)]
+    found = toxicity.toxic_units(rows)
+    assert "vile" in found and found.isdisjoint({"stands", "one", "common"})
+    assert [sorted(w) for w in toxicity.in_new_places(["a b c", "a b d", "x"])] == [["a", "b", "c"], ["b", "d"], ["x"]]
+
+
 def test_long_labelled_texts_teach(spark):
     rng = np.random.default_rng(6)
     said = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 900, n))
