@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Prompts that the edit drivers always send, and what the reference-extraction driver appends.
-EMPTY_PROMPT = "empty, emptiness, blank"
+#: Prompts that the edit drivers always send (single add and remove; turns that add or remove; style),
+#: and what the reference-extraction driver appends.
+SINGLE_EMPTY_PROMPT = "empty, emptiness, blank, vacent"
+TURN_EMPTY_PROMPT = "empty, emptiness, blank"
+STYLE_PROMPT = "Studio Ghibli, hand-drawn animation style, masterpiece, high score."
 EXTRACT_SUFFIX = ". pure background. high quality, very detailed. 8k."
 PLACEHOLDER = "{{{}}}"
 
@@ -55,6 +58,12 @@ def drop_keywords(items: Column, keywords: list[str]) -> Column:
     return F.filter(items, lambda x: ~F.array_contains(unwanted, F.lower(x)))
 
 
+def label_list(objects: Column, backgrounds: Column) -> Column:
+    """O-73: objects, then backgrounds, repeats kept; a null list is an empty one."""
+    none = F.array().cast("array<string>")
+    return F.concat(F.coalesce(objects, none), F.coalesce(backgrounds, none))
+
+
 def at_most_words(text: Column, most: int) -> Column:
     """O-96, O-97, O-100."""
     return F.size(F.split(strip(text), r"(?U)\s+")) <= most

@@ -48,6 +48,12 @@ def far_apart(a: dict[str, Column], b: dict[str, Column], gap: float = MIN_GAP)
     return ((dx > 0) | (dy > 0)) & (F.sqrt(dx * dx + dy * dy) > gap)
 
 
+def usable_pair(a: Column, b: Column, gap: float = MIN_GAP) -> Column:
+    """O-17, O-18: two structs of class_name and box that a two-object edit may take."""
+    corners = lambda x: {c: x[c] for c in ("x1", "y1", "x2", "y2")}
+    return (a["class_name"] != b["class_name"]) & far_apart(corners(a), corners(b), gap)
+
+
 def fitted(height: Column, width: Column, side: int = TARGET_SIDE, multiple: int = MULTIPLE) -> Column:
     """O-48: struct(height, width, top, left): the shorter side becomes side, both are cut to a multiple, centred."""
     short = F.least(height, width)

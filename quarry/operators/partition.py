@@ -1,39 +1,50 @@
 """Splitting a list into parts (O-69, O-70) without bringing it into one task.
 
-Ranks over all rows come from two levels: ranges of the key, and places inside a range. The range bounds are a
-few numbers; the running total is over one row for each range. The key is a number and should be unique, as
-rows with equal keys share a range.
+Rows are sorted into ranges of the key, as many as Spark makes of them, and numbered inside each; the running total
+is over one row for each range. The ranges are sampled, so what they gave is written to the checkpoint folder before
+it is counted: both steps then see the same rows, and a lost executor costs nothing.
 """
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+
+def written(rows: DataFrame) -> DataFrame:
+    """A checkpoint; only a local session, whose tasks run in this process, may go without a folder of its own for it."""
+    context = rows.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quarry-"))
+    return rows.checkpoint()
 
 
-def indexed(rows: DataFrame, key: str, ranges: int = RANGES, name: str = "index") -> DataFrame:
-    """rows with the place of each by key, from 0 on, in column name; null keys come first."""
-    bounds = sorted(set(rows.approxQuantile(key, [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
-    edges = F.array(*[F.lit(float(b)) for b in bounds]).cast("array<double>")
-    part = F.coalesce(F.size(F.filter(edges, lambda e: e < F.col(key))), F.lit(0))
-    dealt = rows.withColumn("_range", F.when(F.col(key).isNull(), 0).otherwise(part))
+def indexed(rows: DataFrame, key: str, name: str = "index", total: str | None = None) -> DataFrame:
+    """rows with the place of each by key, from 0 on, in column name, and the number of rows in column total if it is
+    named; null keys come first. Equal keys share a range, so the key should be unique, or nearly."""
+    ordered = rows.repartitionByRange(F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first())
+    inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # its low bits count the rows of a task
+    dealt = written(ordered.withColumn("_range", F.spark_partition_id()).withColumn("_inside", inside))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
-    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(key).asc_nulls_first()))
-    joined = dealt.withColumn("_inside", inside).join(F.broadcast(starts), "_range")  # ranges rows at most
-    return joined.withColumn(name, F.col("_before") + F.col("_inside") - 1).drop("_range", "_before", "_inside")
+    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    out = dealt.join(F.broadcast(starts), "_range").withColumn(name, F.col("_before") + F.col("_inside"))  # a row a range
+    out = out.withColumn(total, F.col("_total")) if total else out
+    return out.drop("_range", "_inside", "_before", "_total")
 
 
 def contiguous(rows: DataFrame, key: str, parts: int) -> DataFrame:
     """O-69: slices of nearly one size, the larger ones first, in column part."""
-    n = rows.count()
-    small, larger = n // parts, n % parts
-    i, edge = F.col("_index"), larger * (small + 1)
-    part = F.when(i < edge, F.floor(i / (small + 1))).otherwise(larger + F.floor((i - edge) / max(1, small)))
-    return indexed(rows, key, name="_index").withColumn("part", part.cast("long")).drop("_index")
+    i, n = F.col("_index"), F.col("_rows")
+    small, larger = F.floor(n / parts), n % parts
+    edge = larger * (small + 1)
+    part = F.when(i < edge, F.floor(i / (small + 1))).otherwise(larger + F.floor((i - edge) / F.greatest(F.lit(1), small)))
+    return indexed(rows, key, "_index", "_rows").withColumn("part", part.cast("long")).drop("_index", "_rows")
 
 
 def strided(rows: DataFrame, key: str, parts: int) -> DataFrame:

@@ -25,7 +25,10 @@ def pick_one(rows: DataFrame, group: str, seed: int, ties: tuple[str, ...] = ("i
 
 
 def pick(rows: DataFrame, group: str, n: int, seed: int, ties: tuple[str, ...] = ("idx",)) -> DataFrame:
-    """O-64: n different rows of each group, with their place in column pick; fewer where there are fewer."""
+    """O-64: n different rows of each group, with their place in column pick; fewer where there are fewer.
+
+    Every task hands on n rows of a group at most: Spark limits ranks before the shuffle.
+    """
     order = Window.partitionBy(group).orderBy(lot(seed, group, ties[0]), *ties)
     return rows.withColumn("pick", F.row_number().over(order)).where(F.col("pick") <= n)
 
@@ -36,6 +39,11 @@ def shuffled(items: Column, seed: int, key: Column) -> Column:
     return F.transform(F.array_sort(drawn), lambda d: d["x"])
 
 
+def some_of(items: Column, n: int, seed: int, key: Column) -> Column:
+    """O-68: all items, in order, if there are fewer than n; n of them in the order of their lots otherwise."""
+    return F.when(F.size(items) < n, items).otherwise(F.slice(shuffled(items, seed, key), 1, n))
+
+
 def two_operations(key: Column, seed: int) -> Column:
     """O-65: two different operations, in order."""
     return F.slice(shuffled(F.array(*[F.lit(o) for o in OPERATIONS]), seed, key), 1, 2)

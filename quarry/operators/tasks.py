@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import EMPTY_PROMPT, extraction_prompt, without_apostrophes
+from quarry.functions.text import SINGLE_EMPTY_PROMPT, STYLE_PROMPT, TURN_EMPTY_PROMPT, extraction_prompt, without_apostrophes
 
 #: Workflow template by kind of single edit, and the kinds whose images change places, as their
 #: drivers remove the object that the edit is to add.
@@ -62,9 +62,15 @@ TURNS = [
 
 
 def edit_prompt(kind: Column, result: Column) -> Column:
-    """The prompt of a single edit."""
+    """The prompt of a single edit (O-38, O-58, O-59)."""
     clean = without_apostrophes(result)
-    return F.when(kind.isin("add", "remove"), EMPTY_PROMPT).when(kind == "extract", extraction_prompt(clean)).otherwise(clean)
+    fixed = F.when(kind.isin("add", "remove"), SINGLE_EMPTY_PROMPT).when(kind == "style", STYLE_PROMPT)
+    return fixed.when(kind == "extract", extraction_prompt(clean)).otherwise(clean)
+
+
+def turn_prompt(operation: Column, result: Column) -> Column:
+    """The prompt of one turn of a task with several edits (O-38, O-60)."""
+    return F.when(operation.isin("add", "remove"), TURN_EMPTY_PROMPT).otherwise(without_apostrophes(result))
 
 
 def single_edits(tasks: DataFrame) -> DataFrame:

@@ -135,11 +135,11 @@ def _far_sql(a, b):
 
 
 @query(f"""WITH {_with('obj')}, r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, idx, pk, sk, qty) AS rn FROM obj),
-t AS (SELECT * FROM r WHERE rn <= 100)
+t AS (SELECT * FROM r WHERE rn <= 100) -- O-62: the detector's own top-k
 SELECT a.image_id, a.rn::BIGINT AS first_rank, b.rn::BIGINT AS second_rank, a.class_name AS first_class, b.class_name AS second_class
 FROM t a JOIN t b ON a.image_id = b.image_id AND a.rn < b.rn AND a.class_name <> b.class_name AND {_far_sql('a', 'b')}""")
 def q_far_pairs(spark, sf_dir):
-    """An image has at most detect.TOP_K boxes, so at most 4,950 pairs."""
+    """Pairs among what the detector's own cut (O-62) leaves of an image: detect.TOP_K boxes, so 4,950 pairs at most."""
     best = detect.top_k(view(spark, sf_dir, "obj"), ties=TIES)
     box = F.struct("rank", "class_name", "x1", "y1", "x2", "y2")
     listed = best.groupBy("image_id").agg(F.array_sort(F.collect_list(box)).alias("boxes"))
@@ -290,12 +290,12 @@ def q_next_turn(spark, sf_dir):
     return todo.select("conv_id", step.alias("next")).select("conv_id", "next.driver", "next.turn", "next.source")
 
 
-@query("""SELECT conv_id, string_agg(role || '>' || text, '|' ORDER BY turn, role, text) AS data FROM conversations GROUP BY conv_id""")
+@query("""SELECT conv_id, string_agg(coalesce(role, '') || '>' || coalesce(text, ''), '|' ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS data FROM conversations GROUP BY conv_id""")
 def q_dataset_rows(spark, sf_dir):
-    rows = read(spark, sf_dir, "conversations").where("role IS NOT NULL AND text IS NOT NULL")
+    rows = read(spark, sf_dir, "conversations")
     turns = rows.select("conv_id", "turn", F.array("role").alias("input_images"), F.array("text").alias("output_images"), F.col("text").alias("prompt"))
     found = tasks.dataset_rows(turns, "conv_id")
-    told = F.transform("data", lambda x: F.concat(x["input_images"][0], F.lit(">"), x["prompt"]))
+    told = F.transform("data", lambda x: F.concat(F.coalesce(x["input_images"][0], F.lit("")), F.lit(">"), F.coalesce(x["prompt"], F.lit(""))))
     return found.select("conv_id", F.array_join(told, "|").alias("data"))
 
 

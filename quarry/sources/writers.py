@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Entries of a map that is written as one document.
+MOST_ENTRIES = 100_000
+
 
 def by_edit_type(rows: DataFrame, folder: str) -> None:
     """O-75: one folder for each edit type."""
@@ -16,6 +19,26 @@ def as_json(rows: DataFrame, folder: str) -> None:
     rows.write.mode("overwrite").json(folder)
 
 
+def as_json_map(rows: DataFrame, folder: str, key: str, value: str) -> None:
+    """O-74, O-78, O-79: small results, as scores, in one file with one document {key: value, ...}, ordered by key.
+
+    A document is one row, so there may be MOST_ENTRIES at most; more are an error, and belong into as_json().
+    Null keys are left out; of equal keys, the one with the greatest value is taken.
+    """
+    best = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("k")).agg(F.max(value).alias("v"))
+    if best.limit(MOST_ENTRIES + 1).count() > MOST_ENTRIES:
+        raise ValueError(f"more than {MOST_ENTRIES} entries for one document")
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v"))))
+    best.agg(F.to_json(entries, {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(folder)
+
+
+def new_version(rows: DataFrame, root: str, version: int) -> str:
+    """O-76: rows as a version of their own below root; what is there is never changed, and writing it anew an error."""
+    folder = f"{root}/version={version}"
+    rows.write.mode("errorifexists").parquet(folder)
+    return folder
+
+
 def results(rows: DataFrame, folder: str) -> None:
     """O-77, O-78: results without their masks."""
     blank = rows.withColumn("mask", F.lit("")) if "mask" in rows.columns else rows
