@@ -32,11 +32,17 @@ def overlap(a: Column, b: Column) -> Column:
 def suppress(boxes: DataFrame, most: float = MAX_OVERLAP, image: str = "image_id", ties: tuple[str, ...] = ("idx",)) -> DataFrame:
     """O-61: by falling score, a box stays unless it overlaps one that stays by more than most.
 
-    One array for each image, whose length is the number of the detector's proposals (a few hundred at most).
+    Of exact copies all but the first go whatever becomes of it, so they go in every task before the shuffle. One array
+    for each image holds its different boxes; their number is that of the detector's proposals (a few hundred at most).
     """
+    corners = ["x1", "y1", "x2", "y2"]
     rest = [c for c in boxes.columns if c not in {image, "score", *ties}]
     box = F.struct((-F.col("score")).alias("_order"), *ties, "score", *rest)
-    ranked = boxes.groupBy(image).agg(F.array_sort(F.collect_list(box)).alias("_boxes"))
+    # a box without area overlaps nothing, itself included: its copies stay
+    solid = F.coalesce((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")), F.lit(False)) & F.lit(most < 1)
+    one = boxes.groupBy(image, *corners, F.when(~solid, box).alias("_flat")).agg(F.min(box).alias("_box"), F.count("*").cast("int").alias("_n"))
+    stay = F.array_repeat("_box", F.when(F.col("_flat").isNull(), 1).otherwise(F.col("_n")))
+    ranked = one.groupBy(image).agg(F.array_sort(F.flatten(F.collect_list(stay))).alias("_boxes"))
     kind = ranked.schema["_boxes"].dataType
     kept = F.aggregate(
         "_boxes",

@@ -5,7 +5,7 @@ from glob import glob
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators import models, partition, scores
+from quarry.operators import detect, models, partition, scores
 from quarry.sources import writers
 from quarry.streaming.incremental import windowed_counts
 
@@ -106,3 +106,34 @@ def test_windows_close_on_a_stream(spark, tmp_path):
     writer.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
     found = {r.window_start.hour: r.n for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert found == {0: 1, 1: 2, 9: 1}  # the last window is still open
+
+
+def test_suppression_equals_a_plain_fold_also_on_copies_and_flat_boxes(spark):
+    import random
+
+    draw = random.Random(1)
+    rows = []
+    for image in (1, 2, None):
+        for i in range(60):
+            x, y = draw.choice((0.0, 1.0, 4.0)), draw.choice((0.0, 2.0))
+            rows.append((image, i % 50, draw.choice((0.2, 0.5, 0.9)), x, y, x + draw.choice((0.0, 3.0, 4.0)), y + draw.choice((2.0, 3.0))))
+    rows += [(2, 7, 0.5, 1.0, 1.0, 1.0, 3.0)] * 3 + [(2, 8, 0.5, None, 0.0, 1.0, 1.0)] * 2
+
+    def overlap(a, b):
+        if None in a[3:] + b[3:]:
+            return 0.0
+        dx, dy = min(a[5], b[5]) - max(a[3], b[3]), min(a[6], b[6]) - max(a[4], b[4])
+        both = max(0.0, dx) * max(0.0, dy)
+        union = sum((r[5] - r[3]) * (r[6] - r[4]) for r in (a, b)) - both
+        return both / union if union else 0.0
+
+    for most in (0.5, 0.0, 1.0):
+        expected = []
+        for image in (1, 2, None):
+            kept = []
+            for r in sorted((r for r in rows if r[0] == image), key=lambda r: (-r[2], r[1], *((v is not None, v or 0.0) for v in r[3:]))):
+                if all(overlap(r, k) <= most for k in kept):
+                    kept.append(r)
+            expected += kept
+        df = spark.createDataFrame(rows, "image_id long, idx int, score double, x1 double, y1 double, x2 double, y2 double")
+        assert sorted(map(str, map(tuple, detect.suppress(df, most).collect()))) == sorted(map(str, expected))
