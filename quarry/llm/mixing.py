@@ -13,7 +13,8 @@ Tokens are counted with a public vocabulary, in one pass over the texts. The def
 every source one whole epoch, so nothing is left out.
 
 Cases: a null source is a source of its own. Null and empty texts have no tokens; they come once in each whole
-epoch and stay in order in the last. Rows with the same id share their place and are taken or left together.
+epoch and stay in order in the last. A document's place comes from its id and its text, so rows without an id, or under one,
+are dealt like any others; rows equal in both share their place and are taken or left together.
 An empty table gives an empty result. The exponent lies between 0 (equal weights) and 1 (shares as they are);
 a target entropy out of reach gives the nearer end, and a limit that the budget breaks at any weights is an error.
 Other columns are kept, whatever their names; a column that has the name of the result is replaced by it.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, release, table, unused
+from .common import column, materialise, release, table, unused
 from .words import word_encoder
 
 MAX_REPETITION = 2.0
@@ -61,9 +62,9 @@ def token_count(text: Column, vocabulary: str | None = None) -> Column:
     return count(text.cast("string"))
 
 
-def _order(seed: int, epoch: Column, doc_id: Column) -> Column:
-    """Place of a document in an epoch's permutation: 63 bits."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), epoch.cast("long"), doc_id), 1)
+def _order(seed: int, epoch: Column, key: list[str]) -> Column:
+    """Place of a document in an epoch's permutation: 63 bits. key: the columns that tell documents apart."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), epoch.cast("long"), *[column(c) for c in key]), 1)
 
 
 def exponent(sources: DataFrame, target: Target, budget: float | None = None) -> float:
@@ -98,8 +99,8 @@ def exponent(sources: DataFrame, target: Target, budget: float | None = None) ->
     return high
 
 
-def plan(base: DataFrame, target: Target, budget: float | None, seed: int, block_docs: int) -> DataFrame:
-    """One row for each source of base(doc_id, source, n_tokens): weight, passes, whole epochs and cut of the last one."""
+def plan(base: DataFrame, target: Target, budget: float | None, seed: int, block_docs: int, key: list[str]) -> DataFrame:
+    """One row for each source of base(key, source, n_tokens): weight, passes, whole epochs and cut of the last one."""
     totals = base.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     sources = materialise(totals, "sources")
     a = exponent(sources, target, budget)
@@ -119,7 +120,7 @@ def plan(base: DataFrame, target: Target, budget: float | None, seed: int, block
         F.ceil(F.col("docs") / block_docs).alias("blocks"),
     )
     sources = materialise(sources, "source-plan")
-    placed = base.join(sources, "source").withColumn("place", _order(seed, F.col("epochs"), F.col("doc_id")))
+    placed = base.join(sources, "source").withColumn("place", _order(seed, F.col("epochs"), key))
     placed = placed.withColumn("block", F.floor(F.col("place") / F.lit(TOP) * F.col("blocks")))
     sums = placed.groupBy("source", "block").agg(F.sum("n_tokens").alias("tokens"), F.first("rest").alias("rest"))
     sums = materialise(sums, "blocks")
@@ -148,6 +149,7 @@ def mix(
     target: Target | None = None,
     budget: float | None = None,
     tokens: Column | None = None,
+    tie: Column | None = None,
     seed: int = SEED,
     block_docs: int = BLOCK_DOCS,
     name: str = "_mix",
@@ -155,40 +157,45 @@ def mix(
     """docs, each row as often as the mixture takes it, with struct column _mix(epoch, place, n_tokens, weight, position).
 
     docs needs columns doc_id, source and text; tokens is the size of a document, and stands for text where it is
-    given. The order of the mixture is by position, which ends near 1; any stretch of it is at target weights.
+    given. tie tells apart documents without an id or under one, a hash of the text if there is one. The order of the mixture is by position, which ends near 1; any stretch of it is at target weights.
     """
-    size = unused(docs, "_size")
+    size, mark = unused(docs, "_size"), unused(docs, "_tie")
+    if tie is None and "text" in docs.columns:
+        tie = F.xxhash64(F.col("text").cast("string"))
+    key = ["doc_id"] if tie is None else ["doc_id", mark]
+    if tie is not None:
+        docs = docs.withColumn(mark, tie)
     source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
     if tokens is None:  # counted once: the sizes are written beside the rows
         docs = materialise(docs.withColumn(size, token_count(F.col("text"))), "sized")
     else:
         docs = docs.withColumn(size, tokens)
-    base = docs.select(F.col("doc_id"), source.alias("source"), F.col(size).cast("long").alias("n_tokens"))
+    base = docs.select(*[column(c) for c in key], source.alias("source"), F.col(size).cast("long").alias("n_tokens"))
     if tokens is not None:
         base = materialise(base, "sizes")
-    chosen = plan(base, target or Target(), budget, seed, block_docs)
+    chosen = plan(base, target or Target(), budget, seed, block_docs, key)
     held, turn = unused(docs, "_plan"), unused(docs, "_epoch")
     chosen = chosen.select(F.struct("source", "weight", "passes", "epochs", "cut").alias(held))
     joined = docs.join(chosen, source == F.col(f"{held}.source"))
-    last = F.when(_order(seed, F.col(f"{held}.epochs"), F.col("doc_id")) <= F.col(f"{held}.cut"), 1).otherwise(0)
+    last = F.when(_order(seed, F.col(f"{held}.epochs"), key) <= F.col(f"{held}.cut"), 1).otherwise(0)
     times = F.col(f"{held}.epochs").cast("int") + last
     epochs = F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))
     rows = joined.withColumn(turn, F.explode(epochs))
-    place = _order(seed, F.col(turn), F.col("doc_id"))
-    mark = F.struct(
+    place = _order(seed, F.col(turn), key)
+    told = F.struct(
         F.col(turn).cast("long").alias("epoch"),
         place.alias("place"),
         F.col(size).cast("long").alias("n_tokens"),
         F.col(f"{held}.weight").alias("weight"),
         ((F.col(turn) + place / F.lit(TOP)) / F.col(f"{held}.passes")).alias("position"),
     )
-    return rows.withColumn(name, mark).drop(held, turn, size)
+    return rows.withColumn(name, told).drop(held, turn, size, mark)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", token_count(F.col("text")).alias("size"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", token_count(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"))
     docs = materialise(docs, "sized")
-    return mix(docs, tokens=F.col("size")).select("doc_id", "source", "_mix.*")
+    return mix(docs, tokens=F.col("size"), tie=F.col("tie")).select("doc_id", "source", "_mix.*")
 
 
 QUERIES = {"op6_mixing": op6_mixing}

@@ -13,8 +13,13 @@ from quarry.llm import mixing
 
 
 def place(doc_id, epoch):
-    seed = xxhash.xxh64_intdigest(struct.pack("<i", mixing.SEED), 42)
-    return xxhash.xxh64_intdigest(struct.pack("<q", doc_id), xxhash.xxh64_intdigest(struct.pack("<q", epoch), seed)) >> 1
+    """doc_id: an id, or (id or None, text), as nulls leave a hash as it is."""
+    doc_id, text = doc_id if isinstance(doc_id, tuple) else (doc_id, None)
+    out = xxhash.xxh64_intdigest(struct.pack("<i", mixing.SEED), 42)
+    parts = [struct.pack("<q", epoch)] + ([] if doc_id is None else [struct.pack("<q", doc_id)])
+    for x in parts + ([] if text is None else [struct.pack("<Q", xxhash.xxh64_intdigest(text.encode(), 42))]):
+        out = xxhash.xxh64_intdigest(x, out)
+    return out >> 1
 
 
 def plain(rows, limit, budget=None):
@@ -45,7 +50,7 @@ def plain(rows, limit, budget=None):
             if left < 0:
                 break
             out.append((i, epochs))
-    return sorted(out), {s: n**high / whole for s, n in tokens.items()}
+    return out, {s: n**high / whole for s, n in tokens.items()}
 
 
 @pytest.fixture(scope="module")
@@ -61,7 +66,7 @@ def test_against_plain_plan(docs, limit, budget):
     mixed = mixing.mix(df, mixing.Target(repetition=limit), budget, F.col("size"), block_docs=50)
     expected, weights = plain(rows, limit, budget)
     found = mixed.select("doc_id", "source", "_mix.*").collect()
-    assert sorted((r.doc_id, r.epoch) for r in found) == expected
+    assert sorted((r.doc_id, r.epoch) for r in found) == sorted(expected)
     assert all(r.place == place(r.doc_id, r.epoch) and abs(r.weight - weights[r.source]) < 1e-6 for r in found)
     assert max(r.epoch for r in found) < limit
 
@@ -82,6 +87,30 @@ def test_every_stretch_is_at_target_weights(docs):
     assert worst < 0.03 * total  # by epoch first, the small sources would fall short by more than a tenth
 
 
+@pytest.mark.parametrize("budget", [None, 6_000, 9_000, 14_000])
+def test_budgets_hold_where_ids_are_null_or_shared(spark, budget):
+    """A third of the rows have no id, and a tenth share one; the plan is keyed by id and text."""
+    rng = random.Random(8)
+    rows = [(None if k % 3 == 0 else 7 if k % 10 == 1 else k, f"text {k}", rng.choice("aaaaab"), rng.randint(1, 40)) for k in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long")
+    found = mixing.mix(df, mixing.Target(), budget, F.col("size"), block_docs=50).select("doc_id", "text", "source", "_mix.*").collect()
+    expected, weights = plain([((i, t), s, n) for i, t, s, n in rows], mixing.MAX_REPETITION, budget)
+    assert sorted([((r.doc_id, r.text), r.epoch) for r in found], key=key_of) == sorted(expected, key=key_of)
+    assert all(r.place == place((r.doc_id, r.text), r.epoch) for r in found)
+    if budget:
+        for s, w in weights.items():
+            assert abs(sum(r.n_tokens for r in found if r.source == s) - w * budget) <= 40  # a document
+    # and every stretch is at target weights
+    spent = {}
+    for r in sorted(found, key=lambda r: r.position):
+        spent[r.source] = spent.get(r.source, 0) + r.n_tokens
+        assert abs(spent[r.source] - r.weight * sum(spent.values())) < 0.05 * sum(r.n_tokens for r in found)
+
+
+def key_of(x):
+    return str(x[0][0]), x[0][1], x[1]
+
+
 def test_tokens_are_those_of_the_vocabulary(spark, sf):
     encode = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode
     docs = spark.read.parquet(f"{sf}/documents.parquet")

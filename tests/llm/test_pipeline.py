@@ -56,7 +56,8 @@ def test_every_stage_against_a_plain_version(spark, tmp_path):
     mixed = stage["mixing"](spark, left, folder)
     encode = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode
     tokens = {i: encode(t, add_special_tokens=False).ids for i, t in texts.items()}
-    rows, _ = plain([(i, "aaaaabbc"[i % 8], len(tokens[i])) for i in expected], mixing.MAX_REPETITION)
+    rows, _ = plain([((i, texts[i]), "aaaaabbc"[i % 8], len(tokens[i])) for i in expected], mixing.MAX_REPETITION)
+    rows = sorted((i, e) for (i, _), e in rows)
     assert mixed.columns == docs.columns and ids(mixed) == [i for i, _ in rows] and len(rows) > len(expected)
 
     start, whole = 0, []
