@@ -1,8 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item of m characters may be met with k = floor(RATE * m) edits. Cut into k + 1 pieces, at least one
-piece is met exactly. An item whose budget is no edit at all is one piece, and is met where whole words of the text
-are its words. All pieces of a block of items form one Aho-Corasick automaton, which finds exact piece
+piece is met exactly. An item is met by whole words of the text only: the stretch that is compared with it begins and
+ends at borders of words, whatever the budget. All pieces of a block of items form one Aho-Corasick automaton, which finds exact piece
 hits in one pass over a text; around a hit, Myers' bit-parallel algorithm gives the least edit distance of the
 whole item to any stretch of the text. Texts and items are compared in lower case, letters and digits only,
 with single spaces between words.
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import materialise, table
 
 RATE = 0.08
+#: What stands behind the last character of a word: nothing, or a blank.
+BORDER = ("", " ")
 #: Characters of the items that one broadcast holds.
 BLOCK_CHARS = 500_000
 GAPS = re.compile(r"[\W_]+")
@@ -51,10 +53,12 @@ def masks_of(item: str) -> dict[str, int]:
     return dict(out)
 
 
-def best_match(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
-    """(distance, end) of the stretch of text nearest to an item of m characters; the first of several."""
+def matches(masks: dict[str, int], m: int, text: str, after: str, budget: int, anchored: bool = False):
+    """(distance, end) for each border of a word in text at which a stretch within the budget of an item of m
+    characters ends. distance is that of the nearest such stretch, or of all of text up to there if anchored; after
+    is what stands behind text."""
     full, high = (1 << m) - 1, 1 << (m - 1)
-    up, down, score, best, end = full, 0, m, m, 0
+    up, down, score = full, 0, m
     for j, c in enumerate(text, 1):
         same = masks.get(c, 0)
         diagonal = same | down
@@ -64,11 +68,10 @@ def best_match(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
             score += 1
         elif less & high:
             score -= 1
-            if score < best:
-                best, end = score, j
-        more, less = (more << 1) & full, (less << 1) & full
+        if score <= budget and (text[j : j + 1] or after) in BORDER:
+            yield score, j
+        more, less = (more << 1 | anchored) & full, (less << 1) & full
         up, down = less | (full & ~(diagonal | more)), more & diagonal
-    return best, end
 
 
 class Matcher:
@@ -84,7 +87,7 @@ class Matcher:
             budget = int(rate * len(text))
             for at, piece in cut(text, budget + 1):
                 pieces[piece].append((len(self.items), at))
-            self.items.append((item_id, text, budget, masks_of(text)))
+            self.items.append((item_id, text, budget, masks_of(text), masks_of(text[::-1])))
         self.finder = ahocorasick.Automaton()
         for piece, places in pieces.items():
             self.finder.add_word(piece, (len(piece), places))
@@ -100,23 +103,21 @@ class Matcher:
             for n, at in found:
                 places[n].add(end + 1 - size - at)
         for n, starts in places.items():
-            item_id, item, budget, masks = self.items[n]
-            if not budget:
-                whole = (s for s in sorted(starts) if text[max(0, s - 1) : s] in ("", " ") and text[s + len(item) : s + len(item) + 1] in ("", " "))
-                if (at := next(whole, None)) is not None:
-                    out.append((item_id, 0, 0, at, at + len(item)))
-                continue
+            item_id, item, budget, masks, back_masks = self.items[n]
             best = None
             for low, high in _joined(sorted(starts), 2 * budget):
                 low, high = max(0, low - budget), high + len(item) + budget
-                distance, end = best_match(masks, len(item), text[low:high])
-                if distance <= budget and (best is None or distance < best[0]):
-                    best = (distance, low, low + end)
+                for distance, end in matches(masks, len(item), text[low:high], text[high : high + 1], budget):
+                    if best is not None and distance >= best[0]:
+                        continue  # from a border on it is no nearer
+                    stop = low + end
+                    first = max(0, stop - len(item) - budget)
+                    for distance, size in matches(back_masks, len(item), text[first:stop][::-1], text[max(0, first - 1) : first], budget, True):
+                        if best is None or distance < best[0]:
+                            best = (distance, stop - size, stop)
             if best:
-                distance, low, stop = best
-                back = text[low:stop][::-1]
-                _, size = best_match(masks_of(item[::-1]), len(item), back[: len(item) + budget])
-                out.append((item_id, distance, budget, stop - size, stop))
+                distance, start, stop = best
+                out.append((item_id, distance, budget, start, stop))
         return out
 
 
