@@ -7,7 +7,8 @@ two steps. First, units (words and beginnings of words) that stand in toxic docu
 mark words; toxic documents that are explained so no longer count, and the rest are searched for units again, until
 none is found. What stands between the same two words in several texts, as in passages that they share, counts once.
 Then the field is fitted to these tags, and tags are taken anew from its own marginals under the
-constraint that a toxic document has a toxic word, and it is fitted again. Copies of one document count once, or every
+constraint that a toxic document has a toxic word, and it is fitted again to all words of the sample, until the tags
+settle or ROUNDS times. Copies of one document count once, or every
 rare word of a toxic text that was copied would look toxic; a copy is a text whose runs of five words have a Jaccard
 similarity of half or more with those of a text of its label that counts.
 Forward-backward gives every word's marginal, from which come the offending offsets and, through a logistic
@@ -34,12 +35,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import table
 
 SAMPLE = 1500
-#: Hashed features; words of a training chain; chains kept of clean text for each chain with a toxic word.
-SIZE, CHAIN, CLEAN_CHAINS = 1 << 17, 24, 2
+#: Hashed features; words of a training chain; clean chains for each with a toxic word in the first fit, from which
+#: the fits to all chains start.
+SIZE, CHAIN, CLEAN_FIRST = 1 << 17, 24, 2
 #: Chains that the fit holds in floating point at once.
 FIT_CHAINS = 2048
 #: A unit marks toxic words if it stands in this many toxic documents, this many times as often as in clean ones,
@@ -47,9 +50,9 @@ FIT_CHAINS = 2048
 LEAST_DOCS, LEAST_RATIO, LEAST_NATS = 3, 12.0, 8.0
 #: A toxic document in which the field gives a toxic word less chance than this is taken for wrongly labelled.
 LEAST_CHANCE = 1e-3
-#: Lengths of the beginnings of words that are units and features; times that tags are taken anew from
-#: the field, and steps of the fit to them.
-BEGINNINGS, ENDS, ROUNDS, ANEW = range(3, 9), range(3, 5), 1, 20
+#: Lengths of the beginnings of words that are units and features; times at most that tags are taken anew from the
+#: field until they settle, and steps of the fit to them.
+BEGINNINGS, ENDS, ROUNDS, ANEW = range(3, 9), range(3, 5), 6, 20
 #: Copies in the sample share this part of their runs of so many words; candidates share one of so many least hashes.
 COPY, RUN, HASHES = 0.5, 5, 8
 WORD = re.compile(r"\w+")
@@ -174,14 +177,26 @@ def in_new_places(texts: list[str]):
     """For each text, its words that stand between a pair of words between which no text before has them.
 
     Passages that texts share hold the same words at the same places, so they count once; what is put into texts
-    of their own counts for each.
+    of their own counts for each. A place is a 64-bit hash of the word and its two neighbours; which text has it first is
+    found by sorting the places of all texts, so none is forgotten, however many there are.
     """
-    seen = np.zeros(1 << 25, bool)
+
+    def words_of(text: str) -> list[str]:
+        return WORD.findall(text.lower())
+
+    places = []
     for text in texts:
-        words = ["", *WORD.findall(text.lower()), ""]
-        places = [zlib.crc32(" ".join(words[k - 1 : k + 2]).encode()) % seen.size for k in range(1, len(words) - 1)]
-        yield {w for w, old in zip(words[1:-1], seen[places].tolist() if places else ()) if not old}
-        seen[places] = True
+        words = ["", *words_of(text), ""]
+        places.append(np.fromiter((xxh3_64_intdigest(f"{a} {w} {b}") for a, w, b in zip(words, words[1:], words[2:])), np.uint64, len(words) - 2))
+    ends = np.cumsum([p.size for p in places])
+    every = np.concatenate(places) if places else np.zeros(0, np.uint64)
+    places.clear()
+    every, first, own = np.unique(every, return_index=True, return_inverse=True)
+    first = np.searchsorted(ends, first, side="right").astype(np.int32)[own]  # the first text of each word's place
+    del every, own
+    for k, text in enumerate(texts):
+        new = first[ends[k - 1] if k else 0 : ends[k]] == k
+        yield {w for w, fresh in zip(words_of(text), new.tolist()) if fresh}
 
 
 def toxic_units(rows: list[tuple[str, int]]) -> set[str]:
@@ -224,14 +239,14 @@ def toxic_units(rows: list[tuple[str, int]]) -> set[str]:
     return marked
 
 
-def chains(docs: list[tuple[list[str], bytes]]) -> list[tuple[list[str], bytes]]:
-    """docs(words, tags) cut into chains: all that hold a toxic word, and CLEAN_CHAINS times as many others, evenly."""
+def chains(docs: list[tuple[list[str], bytes]], clean_part: int | None = None) -> list[tuple[list[str], bytes]]:
+    """docs(words, tags) cut into chains: all, or those that hold a toxic word and clean_part times as many others, evenly."""
     toxic, clean = [], []
     for words, tags in docs:
         for at in range(0, len(words), CHAIN):
             part = (words[at : at + CHAIN], tags[at : at + CHAIN])
             (toxic if any(part[1]) else clean).append(part)
-    step = max(1, len(clean) // max(1, CLEAN_CHAINS * len(toxic)))
+    step = max(1, len(clean) // max(1, clean_part * len(toxic))) if clean_part else 1
     return toxic + clean[::step]
 
 
@@ -331,13 +346,14 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, size: int = SAMPLE) ->
     toxic = {w for w in pool if not marked.isdisjoint(units(w))}
     pool.clear()
     tags = [bytes(bool(y) and w in toxic for w in ws) for ws, (_, y) in zip(words, rows)]
-    model = fit_field(chains(list(zip(words, tags))))
+    model = fit_field(chains(list(zip(words, tags)), CLEAN_FIRST))
     for _ in range(ROUNDS):
         anew = [constrained(model.marginals(ws)) if y else bytes(len(ws)) for ws, (_, y) in zip(words, rows)]
-        if anew == tags or not any(map(any, anew)):
-            break
-        tags = anew
+        settled = anew == tags
+        tags = anew if any(map(any, anew)) else tags
         model = fit_field(chains(list(zip(words, tags))), ANEW, start=model)
+        if settled:
+            break
     evidence = np.array([model.evidence(model.marginals(ws)) for ws in words])
     model.line = logistic(evidence, np.array([y for _, y in rows], float))
     model.cache.clear()
