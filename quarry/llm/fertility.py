@@ -5,8 +5,9 @@ public vocabulary that has byte fallback. Per text: characters per token of the
 byte tokens, which is how much of the text it can only spell, and the entropy of the token distribution in bits.
 
 Each measure has a band of texts of the same main script and size (the whole part of the base-2 logarithm of the
-number of tokens, as short texts vary more and have less entropy). Bands come from all texts that pass the rules of
-length and repetition: from FENCE interquartile ranges below the first quartile to as many above the third, with a
+number of tokens, as short texts vary more and have less entropy). A size with fewer than LEAST_TEXTS texts takes the band
+of its script, and a script with fewer takes the constants in RARE, so that a text that is alone in its size is not its own
+measure. Bands come from all texts that pass the rules of length and repetition: from FENCE interquartile ranges below the first quartile to as many above the third, with a
 least range for each measure, so that a measure that hardly varies does not reject what is a hair away. Quartiles are
 mergeable summaries that tasks build side by side; only one row a script and size is broadcast.
 
@@ -14,7 +15,7 @@ Words are maximal runs of characters other than space and U+0009 to U+000D.
 
 Cases: a null text has no words and fails the length rule; an empty one likewise. Texts of any length are read
 whole. Repeated rows get equal results and count each in the quartiles. Ids keep their type; other columns are
-ignored. A script and size with one text has a band around it, so it is kept. An empty table gives an empty result.
+ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,14 +40,27 @@ FENCE = 3.0
 MEASURES = {"chars_per_token": (0.05, True, True), "byte_share": (0.02, False, True), "token_entropy": (0.1, True, True)}
 #: Quartiles are right to one part in so many of the rows.
 ACCURACY = 10_000
-SCRIPTS = ("latin", "cyrillic", "greek", "cjk", "other")
+SCRIPTS = ("latin", "cyrillic", "greek", "cjk", "kana", "hangul", "arabic", "hebrew", "devanagari", "thai", "other")
 #: First code points of ranges, and the script of the letters from there on.
 RANGES = (
-    (0x00, None), (0x41, "latin"), (0x5B, None), (0x61, "latin"), (0x7B, None), (0xAA, "latin"), (0x250, "other"),
-    (0x370, "greek"), (0x400, "cyrillic"), (0x530, "other"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, None),
-    (0x2E80, "cjk"), (0xA4D0, "other"), (0xAC00, "cjk"), (0xD7B0, "other"), (0xF900, "cjk"), (0xFB00, "other"),
-    (0x20000, "cjk"), (0x32000, "other"),
+    (0x00, None), (0x41, "latin"), (0x5B, None), (0x61, "latin"), (0x7B, None), (0xAA, "latin"), (0x250, "other"), (0x370, "greek"),
+    (0x400, "cyrillic"), (0x530, "other"), (0x590, "hebrew"), (0x600, "arabic"), (0x700, "other"), (0x750, "arabic"), (0x780, "other"),
+    (0x8A0, "arabic"), (0x900, "devanagari"), (0x980, "other"), (0xE00, "thai"), (0xE80, "other"), (0x1100, "hangul"), (0x1200, "other"),
+    (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, None), (0x2E80, "cjk"), (0x3000, None), (0x3040, "kana"), (0x3100, "cjk"), (0x3130, "hangul"),
+    (0x3190, "cjk"), (0x31F0, "kana"), (0x3200, "cjk"), (0xA4D0, "other"), (0xA8E0, "devanagari"), (0xA900, "other"), (0xAC00, "hangul"),
+    (0xD800, "other"), (0xF900, "cjk"), (0xFB00, "other"), (0xFB1D, "hebrew"), (0xFB50, "arabic"), (0xFE00, None), (0xFE70, "arabic"),
+    (0xFF00, None), (0xFF21, "latin"), (0xFF3B, None), (0xFF41, "latin"), (0xFF5B, None), (0xFF66, "kana"), (0xFFA0, "hangul"), (0xFFE0, None),
+    (0x10000, "other"), (0x20000, "cjk"), (0x32000, "other"),
 )
+#: Texts from which a size or a script has a band of its own.
+LEAST_TEXTS = 30
+#: Where a script has fewer: least characters per token, and greatest share of byte tokens, about three quarters and 0.3 above
+#: of what a plain sentence of the script has under the two vocabularies; and the least entropy of a text of 20 words.
+RARE = {
+    "latin": (1.4, 0.35), "cyrillic": (2.0, 0.3), "greek": (1.25, 0.3), "cjk": (0.4, 0.35), "kana": (0.7, 0.4), "hangul": (0.9, 0.45),
+    "arabic": (1.25, 0.3), "hebrew": (1.15, 0.3), "devanagari": (0.6, 0.35), "thai": (0.7, 0.3), "other": (0.2, 0.5),
+}
+RARE_ENTROPY = 2.5
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 CACHED_WORDS = 300_000
@@ -179,9 +193,14 @@ def size_class() -> Column:
 
 
 def bands(measured: DataFrame, fence: float = FENCE) -> DataFrame:
-    """(script, size, and low and high of each measure) from all rows of measures() that pass the rules before."""
+    """(script, size, and low and high of each measure) from all rows of measures() that pass the rules before.
+
+    A null size stands for the whole script. Groups of fewer than LEAST_TEXTS texts are left out.
+    """
     quartiles = [F.percentile_approx(m, [0.25, 0.75], ACCURACY).alias(m) for m in MEASURES]
-    found = measured.where("NOT base_failed").groupBy("script", size_class().alias("size")).agg(*quartiles)
+    passed = measured.where("NOT base_failed").withColumn("size", size_class())
+    sets = passed.groupingSets([["script", "size"], ["script"]], "script", "size")
+    found = sets.agg(F.count("*").alias("n"), *quartiles).where(F.col("n") >= LEAST_TEXTS)
     edges = []
     for m, (least, rejects_low, rejects_high) in MEASURES.items():
         first, third = F.col(m)[0], F.col(m)[1]
@@ -194,10 +213,17 @@ def bands(measured: DataFrame, fence: float = FENCE) -> DataFrame:
 def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
     """measured with kept, and with failed_bands: the measures that lie outside the text's band.
 
-    limits has a row for each script and size, so it is bounded by the five scripts and the bits of a number.
+    limits has a row for each script and size, so it is bounded by the number of scripts and the bits of a number.
     """
-    joined = measured.withColumn("size", size_class()).join(F.broadcast(limits), ["script", "size"], "left")
-    outside = [F.when((F.col(m) < F.col(f"low_{m}")) | (F.col(m) > F.col(f"high_{m}")), F.lit(m)) for m in MEASURES]
+    edges = [f"{side}_{m}" for m in MEASURES for side in ("low", "high")]
+    own = limits.where("size IS NOT NULL").select("script", "size", F.struct(*edges).alias("own"))
+    wide = limits.where("size IS NULL").select("script", F.struct(*edges).alias("wide"))
+    joined = measured.withColumn("size", size_class()).join(F.broadcast(own), ["script", "size"], "left").join(F.broadcast(wide), "script", "left")
+    rare = lambda k: F.create_map(*[F.lit(x) for s in SCRIPTS for x in (s, RARE[s][k])])[F.col("script")]
+    least = {"low_chars_per_token": rare(0), "high_byte_share": rare(1), "low_token_entropy": F.lit(RARE_ENTROPY)}
+    constants = F.struct(*[least.get(e, F.lit(float("-inf" if e.startswith("low") else "inf"))).alias(e) for e in edges])
+    band = F.coalesce("own", "wide", constants)
+    outside = [F.when((F.col(m) < band[f"low_{m}"]) | (F.col(m) > band[f"high_{m}"]), F.lit(m)) for m in MEASURES]
     failed = F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*outside)))
     kept = ~F.col("base_failed") & (F.size("failed_bands") == 0)
     return joined.withColumn("failed_bands", failed).withColumn("kept", kept).select(*measured.columns, "kept", "failed_bands")

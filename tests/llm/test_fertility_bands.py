@@ -40,8 +40,8 @@ def test_measures_are_those_of_the_vocabularies(spark, sf):
 
 
 def test_scripts():
-    said = {"latin": "Grüße an alle", "cyrillic": "мир и дом, words", "greek": "λόγος", "cjk": "日本語 ok", "other": "शब्द"}
-    assert {s: fertility.main_script(t) for s, t in said.items()} == {s: s for s in said} and fertility.main_script("12 34") == "other"
+    said = {"latin": "Grüße an alle", "cyrillic": "мир и дом, words", "greek": "λόγος", "cjk": "日本語 ok", "other": "კომიტეტი", "devanagari": "शब्द", "kana": "ひらがな漢字", "hangul": "한국어", "arabic": "كلمة", "hebrew": "מילה", "thai": "คำ"}
+    assert {s: fertility.main_script(t) for s, t in said.items()} == {s: s for s in said} and set(said) == set(fertility.SCRIPTS) and fertility.main_script("12 34") == "other"
 
 
 def test_bands_reject_what_lies_outside(spark):
@@ -65,18 +65,59 @@ def test_bands_reject_what_lies_outside(spark):
 
 def test_verdicts_by_plain_quartiles(spark, sf):
     rows = fertility.op4_fertility(spark, "/root/testdata/sf0.01").collect()
-    groups = {}
+    groups, scripts = {}, {}
     for r in rows:
         if not r.base_failed:
             groups.setdefault((r.script, int(math.log2(max(1, r.n_tokens)))), []).append(r)
-    for own in groups.values():
+            scripts.setdefault(r.script, []).append(r)
+    for (script, _), own in groups.items():
         failed = {r.doc_id: set() for r in own}
+        measure = own if len(own) >= fertility.LEAST_TEXTS else scripts[script]
+        assert len(measure) >= fertility.LEAST_TEXTS
         for m, (least, low, high) in fertility.MEASURES.items():
-            ranked = sorted(r[m] for r in own)
-            a, b = (ranked[math.ceil(q * len(own)) - 1] for q in (0.25, 0.75))
+            ranked = sorted(r[m] for r in measure)
+            a, b = (ranked[math.ceil(q * len(ranked)) - 1] for q in (0.25, 0.75))
             reach = fertility.FENCE * max(b - a, least)
             for r in own:
                 if low and r[m] < a - reach or high and r[m] > b + reach:
                     failed[r.doc_id].add(m)
         assert all(r.kept == (not failed[r.doc_id]) and set(filter(None, r.failed_bands.split(","))) == failed[r.doc_id] for r in own)
     assert any(r.failed_bands for r in rows)
+
+
+#: A plain sentence of each script, in words.
+SAID = {
+    "latin": "the committee will publish the report next week once all members have read and signed the final version of it together",
+    "cyrillic": "комиссия опубликует доклад на следующей неделе когда все её члены прочтут и подпишут окончательный вариант этого документа",
+    "greek": "η επιτροπή θα δημοσιεύσει την έκθεση την επόμενη εβδομάδα όταν όλα τα μέλη θα έχουν διαβάσει και υπογράψει το τελικό κείμενο",
+    "cjk": "委员会 将 于 下周 公布 报告 届时 所有 成员 都 已 阅读 并 签署 最终 版本 的 文件",
+    "kana": "いいんかい は らいしゅう ほうこくしょ を はっぴょう する よてい です すべて の メンバー が よんで サイン します",
+    "hangul": "위원회는 모든 위원이 최종 문서를 읽고 서명한 뒤 다음 주에 보고서를 발표할 예정이라고 오늘 오후 기자들에게 밝혔다",
+    "arabic": "ستنشر اللجنة التقرير في الأسبوع المقبل بعد أن يقرأ جميع الأعضاء النسخة النهائية ويوقعوا عليها في مقر الهيئة",
+    "hebrew": "הוועדה תפרסם את הדוח בשבוע הבא לאחר שכל החברים יקראו ויחתמו על הנוסח הסופי של המסמך במשרדה",
+    "devanagari": "समिति अगले सप्ताह रिपोर्ट प्रकाशित करेगी जब सभी सदस्य अंतिम संस्करण को पढ़ कर उस पर हस्ताक्षर कर देंगे",
+    "thai": "คณะกรรมการ จะ เผยแพร่ รายงาน ใน สัปดาห์ หน้า เมื่อ สมาชิก ทุก คน ได้ อ่าน และ ลง นาม ใน ฉบับ สุดท้าย แล้ว",
+}
+
+
+def test_every_script_rejects_junk(spark):
+    """By its own band where it has texts, and by constants where it has few; a text alone in its size is measured too."""
+    rng = random.Random(5)
+    many, few, junk = [], [], {}
+    for k, (script, said) in enumerate(SAID.items()):
+        words, letters = said.split(), sorted({c for c in said if c.isalpha()})
+        said_of = lambda n: " ".join(rng.choice(words) for _ in range(n))
+        many += [(1000 * k + i, said_of(60)) for i in range(40)]
+        few += [(1000 * k + i, said_of(60)) for i in range(3)]
+        rare = max(letters, key=said.count) if k else "q"
+        junk[1000 * k + 900] = " ".join(rng.choice([rare, letters[0]]) for _ in range(60))  # two letters: no entropy
+        junk[1000 * k + 901] = " ".join("".join(chr(rng.randrange(0x10A0, 0x10F0)) if rng.random() < 0.3 else rng.choice(letters) for _ in range(5)) for _ in range(60))
+    junk[901 + 10**6] = " ".join("".join(rng.choice("qxzjkvwbcdfghm") for _ in range(9)) for _ in range(2000))  # alone in its size
+    for plain in (many, few):
+        docs = spark.createDataFrame(plain + list(junk.items()), "doc_id long, text string")
+        found = {r.doc_id: r for r in fertility.quality_rules(docs).collect()}
+        assert {found[1000 * k].script for k in range(len(SAID))} == set(SAID)
+        assert all(found[i].kept for i, _ in plain), [(found[i].script, found[i].failed_bands) for i, _ in plain if not found[i].kept]
+        base = [i for i in junk if found[i].base_failed]
+        assert not any(found[i].kept for i in junk), [(found[i].script, found[i].asDict()) for i in junk if found[i].kept]
+        assert len(base) <= len(SAID)
