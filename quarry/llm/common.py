@@ -43,16 +43,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths that new_path() gave and that were not dropped.
+_paths: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver ends."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
     atexit.register(_forget, spark, path)
     return path
 
 
+def written_so_far() -> int:
+    """A mark for release_since()."""
+    return len(_paths)
+
+
+def release_since(spark: SparkSession, mark: int, *keep: DataFrame) -> None:
+    """Delete what was written since the mark but for what materialise() gave as keep."""
+    for path in [p for p in _paths[mark:] if p not in {df.quarry_path for df in keep}]:
+        drop_path(spark, path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _paths:
+        _paths.remove(path)
 
 
 def _forget(spark: SparkSession, path: str) -> None:

@@ -25,3 +25,15 @@ def test_names_that_no_column_has(spark):
     df = spark.range(1).select(F.lit(1).alias("_A"), F.lit(2).alias("__a"), F.lit(3).alias("x.`y"))
     assert common.unused(df, "_a") == "___a" and common.unused(df, "b") == "b"
     assert df.select(common.column("x.`y")).first()[0] == 3
+
+
+def test_release_of_what_a_stage_wrote(spark):
+    from quarry.llm import common
+
+    before = common.materialise(spark.range(2), "before")
+    mark = common.written_so_far()
+    part, out = common.materialise(spark.range(3), "part"), common.materialise(spark.range(4), "out")
+    common.release_since(spark, mark, out)
+    assert before.count() == 2 and out.count() == 4 and common.written_so_far() == mark + 1
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND|FileNotFound"):
+        part.count()
