@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, mixing, simhash, token_files, toxicity
-from quarry.llm.common import materialise, table, unused
+from quarry.llm.common import materialise, release, release_since, table, unused, written_so_far
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = materialise(docs, name)
-    return docs
+    """The rows of the last stage. When a stage has been written, all that it made and the stage before are deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        mark = written_so_far()
+        docs = materialise(stage(spark, docs, sf_dir), name)
+        release_since(spark, mark, docs)
+        if before is not None:
+            release(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
