@@ -11,19 +11,26 @@ import re
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from threading import Condition
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.names import unused
 from quarry.operators.detect import class_kind
+from quarry.sources.files import contents, size_of
+from quarry.sources.readers import with_paths
 
 Client = Callable[..., str]
 #: Requests that a task keeps in flight.
 THREADS = 8
 BOX = "struct<class_name:string,bbox:array<double>,score:double,mask:string>"
 NO_IMAGE = "image missing"
+#: Bytes of images that a task holds while it asks.
+MOST_BYTES = 256 << 20
 
 
 class EchoClient:
@@ -64,8 +71,12 @@ def until_match(client: Client, regex: str, attempts: int = 3) -> Client:
 
 
 def _asked(rows: DataFrame, columns: tuple[str, ...], make_client: Callable, ask: Callable, name: str, kind: str, threads: int) -> DataFrame:
-    """rows with columns name and error: ask(client, values) in threads, one batch at a time, in the rows' order."""
-    out = T.StructType([*rows.schema.fields, *T._parse_datatype_string(f"{name} {kind}, error string").fields])
+    """rows with columns name and error: ask(client, values) in threads, one batch at a time, in the rows' order.
+
+    Where rows has a column of such a name, the new one takes it with an underscore before it.
+    """
+    name, error = unused(rows, name, "error")
+    out = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(f"{name} {kind}, {error} string").fields])
     where = [rows.columns.index(c) for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,6 +123,57 @@ def answered_with_images(
     return _asked(rows, (prompt, *images), make_client, ask, "answer", "string", threads)
 
 
+class ByteBudget:
+    """Lets threads hold so many bytes at once, or one of them any number."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.free = most, 0, Condition()
+
+    @contextmanager
+    def holding(self, n: int):
+        with self.free:
+            self.free.wait_for(lambda: not self.held or self.held + n <= self.most)
+            self.held += n
+        try:
+            yield
+        finally:
+            with self.free:
+                self.held -= n
+                self.free.notify_all()
+
+
+def answered_with_files(
+    rows: DataFrame, make_client: Callable[[], Client], prompt: str = "prompt", paths: tuple[str, ...] = ("original", "result"), threads: int = THREADS, most_bytes: int = MOST_BYTES
+) -> DataFrame:
+    """O-82 by paths, as of readers.with_paths(): images are read when their row is asked, so that they are in no shuffle
+    and no batch; a task holds most_bytes of them, or one row's. A null path, or one without a file, is the row's error."""
+    budget: list[ByteBudget] = []
+
+    def ask(client, values):
+        if values[0] is None:
+            return None, None
+        if not budget:
+            budget.append(ByteBudget(most_bytes))
+        sizes = [size_of(p) for p in values[1:]]
+        if not all(sizes):
+            return None, NO_IMAGE
+        with budget[0].holding(sum(sizes)):
+            return client(values[0], *map(contents, values[1:])), None
+
+    return _asked(rows, (prompt, *paths), make_client, ask, "answer", "string", threads)
+
+
+def motion_captions_below(records: DataFrame, files: DataFrame, folder: str, make_client: Callable[[], Client], instruction: str, threads: int = THREADS) -> DataFrame:
+    """O-19, O-22: records(start_frame, end_frame, ...) with frames named below folder, as far as both are named and
+    files(path), a listing, has both; with their caption in column prompt, and error. Frames are read in the tasks."""
+    start, end, said = unused(records, "_start", "_end", "_instruction")
+    named = records.drop("prompt").where("start_frame <> '' AND end_frame <> ''")
+    at = {c: F.concat(F.lit(folder.rstrip("/") + "/"), F.col(name)) for c, name in ((start, "start_frame"), (end, "end_frame"))}
+    both = with_paths(named, files, at).where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn(said, F.lit(instruction))
+    told = answered_with_files(both, make_client, said, (start, end), threads)
+    return told.withColumnRenamed(told.columns[-2], "prompt").drop(start, end, said)
+
+
 def motion_captions(records: DataFrame, files: DataFrame, make_client: Callable[[], Client], instruction: str, threads: int = THREADS) -> DataFrame:
     """O-19, O-22: records(start_frame, end_frame, ...), as far as both are named and both files(path, content) exist,
     with their caption in column prompt, and error."""

@@ -7,18 +7,21 @@ it is counted: both steps then see the same rows, and a lost executor costs noth
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.names import unused
+
 
 def written(rows: DataFrame) -> DataFrame:
     """A checkpoint; only a local session, whose tasks run in this process, may go without a folder of its own for it."""
     context = rows.sparkSession.sparkContext
     if not context.getCheckpointDir():
         folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quarry-"))
     return rows.checkpoint()
@@ -29,24 +32,27 @@ def indexed(rows: DataFrame, key: str, name: str = "index", total: str | None =
     named; null keys come first. Equal keys share a range, so the key should be unique, or nearly."""
     ordered = rows.repartitionByRange(F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first())
     inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # its low bits count the rows of a task
-    dealt = written(ordered.withColumn("_range", F.spark_partition_id()).withColumn("_inside", inside))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
-    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    out = dealt.join(F.broadcast(starts), "_range").withColumn(name, F.col("_before") + F.col("_inside"))  # a row a range
-    out = out.withColumn(total, F.col("_total")) if total else out
-    return out.drop("_range", "_inside", "_before", "_total")
+    part, place, n, start, whole = unused(rows, "_range", "_inside", "_n", "_before", "_total")
+    dealt = written(ordered.withColumn(part, F.spark_partition_id()).withColumn(place, inside))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(part).agg(F.count("*").alias(n))
+    starts = starts.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start), F.sum(n).over(Window.partitionBy()).alias(whole))
+    out = dealt.join(F.broadcast(starts), part).withColumn(name, F.col(start) + F.col(place))  # a row a range
+    out = out.withColumn(total, F.col(whole)) if total else out
+    return out.drop(part, place, start, whole)
 
 
 def contiguous(rows: DataFrame, key: str, parts: int) -> DataFrame:
     """O-69: slices of nearly one size, the larger ones first, in column part."""
-    i, n = F.col("_index"), F.col("_rows")
+    index, count = unused(rows, "_index", "_rows")
+    i, n = F.col(index), F.col(count)
     small, larger = F.floor(n / parts), n % parts
     edge = larger * (small + 1)
     part = F.when(i < edge, F.floor(i / (small + 1))).otherwise(larger + F.floor((i - edge) / F.greatest(F.lit(1), small)))
-    return indexed(rows, key, "_index", "_rows").withColumn("part", part.cast("long")).drop("_index", "_rows")
+    return indexed(rows, key, index, count).withColumn("part", part.cast("long")).drop(index, count)
 
 
 def strided(rows: DataFrame, key: str, parts: int) -> DataFrame:
     """O-70: every parts-th row, in column part."""
-    return indexed(rows, key, name="_index").withColumn("part", F.pmod(F.col("_index"), F.lit(parts)).cast("long")).drop("_index")
+    (index,) = unused(rows, "_index")
+    return indexed(rows, key, name=index).withColumn("part", F.pmod(F.col(index), F.lit(parts)).cast("long")).drop(index)

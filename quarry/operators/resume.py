@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.names import unused
+
 
 def missing(tasks: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Tasks whose key has no output yet."""
-    return tasks.join(done.select(key), key, "left_anti")
+    """Tasks whose key has no output yet; a null key is done once there is an output with a null key."""
+    (name,) = unused(tasks, "_done")
+    made = done.select(F.col(key).alias(name))
+    return tasks.join(made, tasks[key].eqNullSafe(made[name]), "left_anti")
 
 
 def merged(*parts: DataFrame) -> DataFrame:
