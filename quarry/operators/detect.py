@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.names import unused
+from quarry.operators.geometry import MIN_GAP, far_apart
+from quarry.operators.partition import written
+
 TOP_K, MIN_SCORE, MAX_OVERLAP = 100, 0.005, 0.5
+#: Boxes of an image that are folded in one row; the least overlap for which larger images are spread over tasks; and the
+#: side of the cells in which boxes near each other meet.
+FOLD_BOXES, LEAST_OVERLAP, CELL = 1000, 0.1, 256.0
 
 
 def confident(boxes: DataFrame, least: float = MIN_SCORE) -> DataFrame:
@@ -29,12 +38,114 @@ def overlap(a: Column, b: Column) -> Column:
     return F.try_divide(both, area(a) + area(b) - both)
 
 
-def suppress(boxes: DataFrame, most: float = MAX_OVERLAP, image: str = "image_id", ties: tuple[str, ...] = ("idx",)) -> DataFrame:
+def suppress(
+    boxes: DataFrame, most: float = MAX_OVERLAP, image: str = "image_id", ties: tuple[str, ...] = ("idx",), fold_boxes: int = FOLD_BOXES
+) -> DataFrame:
     """O-61: by falling score, a box stays unless it overlaps one that stays by more than most.
 
-    Of exact copies all but the first go whatever becomes of it, so they go in every task before the shuffle. One array
-    for each image holds its different boxes; their number is that of the detector's proposals (a few hundred at most).
+    Images of up to fold_boxes boxes are folded in a row each; the boxes of larger ones are spread over tasks. Where most is
+    below LEAST_OVERLAP, boxes of any sizes can suppress each other and all images are folded.
     """
+    if most < LEAST_OVERLAP or most >= 1:
+        return _folded(boxes, most, image, ties)
+    (key,) = unused(boxes, "_image")
+    large = written(boxes.groupBy(F.col(image).alias(key)).agg(F.count("*").alias("n")).where(F.col("n") > fold_boxes).select(key))
+    if large.isEmpty():
+        return _folded(boxes, most, image, ties)
+    same = boxes[image].eqNullSafe(large[key])
+    return _folded(boxes.join(large, same, "left_anti"), most, image, ties).unionByName(_in_rounds(boxes.join(large, same, "left_semi"), most, image, ties))
+
+
+def _in_rounds(boxes: DataFrame, most: float, image: str, ties: tuple[str, ...]) -> DataFrame:
+    """suppress() for images of any number of boxes, in rounds: a box that no undecided better box overlaps stays, and those
+    that it overlaps go. Pairs of overlapping boxes are found once; rounds go on until no pair is undecided."""
+    uid, order = unused(boxes, "_uid", "_order")
+    rest = [c for c in boxes.columns if c not in {image, "score", *ties}]
+    ranked = boxes.withColumn(uid, F.monotonically_increasing_id())
+    ranked = written(ranked.withColumn(order, F.struct((-F.col("score")).alias("s"), *ties, *[F.col(c) for c in rest], uid)))
+    pairs = written(overlapping(ranked, most, image, uid, order))
+    gone = None
+    while not pairs.isEmpty():
+        stay = pairs.select("better").join(pairs.select(F.col("worse").alias("better")), "better", "left_anti").distinct()
+        go = written(pairs.join(stay, "better", "left_semi").select("worse").distinct())
+        pairs = pairs.join(go, "worse", "left_anti").join(go.select(F.col("worse").alias("better")), "better", "left_anti")
+        pairs, gone = written(pairs), go if gone is None else gone.unionByName(go)
+    kept = ranked if gone is None else ranked.join(gone.select(F.col("worse").alias(uid)), uid, "left_anti")
+    return kept.select(*boxes.columns)
+
+
+def _side(level: Column) -> Column:
+    """Side of the cells for boxes of this size."""
+    return F.pow(F.lit(2.0), level + 1)
+
+
+def _cells(wide: Column, centre: Column, most: float) -> Callable[[Column], Column]:
+    """The cells of a level in which the centre of a box can lie that overlaps a box of this width by more than most."""
+
+    def cells(level: Column) -> Column:
+        reach = (1 - most) * F.greatest(wide, _side(level)) * (1 + 1e-9)
+        places = F.sequence(F.floor((centre - reach) / _side(level)), F.floor((centre + reach) / _side(level)))
+        return F.transform(places, lambda c: F.struct(level.alias("level"), c.alias("cell")))
+
+    return cells
+
+
+def overlapping(boxes: DataFrame, most: float, image: str, uid: str, order: str) -> DataFrame:
+    """(better, worse): uids of boxes of an image that overlap by more than most, each pair once.
+
+    Boxes that overlap so are alike in width and height up to a factor of 1 / most, and their centres are near. So a box
+    lies in one cell of a grid for boxes of its size, and is looked for from the cells, in grids of sizes like its own, that
+    the centre of a partner can lie in: an equality join, in which Spark splits cells of many boxes.
+    """
+    size = {"x": F.col("x2") - F.col("x1"), "y": F.col("y2") - F.col("y1")}
+    solid = boxes.where((size["x"] > 0) & (size["y"] > 0))  # others overlap nothing
+    box = F.struct(*[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
+    a = b = solid.select(F.col(image).alias("image"), F.col(uid).alias("uid"), F.col(order).alias("order"), box.alias("box"))
+    for axis in ("x", "y"):
+        low, high = F.col(f"box.{axis}1"), F.col(f"box.{axis}2")
+        wide, centre = high - low, (low + high) / 2
+        level = F.floor(F.log2(wide)).cast("int")
+        a = a.withColumn(f"level_{axis}", level).withColumn(f"cell_{axis}", F.floor(centre / _side(level)))
+        levels = F.sequence(F.floor(F.log2(wide * most) - 1e-9).cast("int"), F.floor(F.log2(wide / most) + 1e-9).cast("int"))
+        b = b.withColumn("at", F.explode(F.flatten(F.transform(levels, _cells(wide, centre, most))))).withColumn(f"level_{axis}", F.col("at.level")).withColumn(f"cell_{axis}", F.col("at.cell")).drop("at")
+    grid = ["level_x", "cell_x", "level_y", "cell_y"]
+    b = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns])
+    meet = F.col("image").eqNullSafe(F.col("b_image"))
+    for c in grid:
+        meet = meet & (F.col(c) == F.col(f"b_{c}"))
+    found = a.join(b, meet & (F.col("order") < F.col("b_order")) & (overlap(F.col("box"), F.col("b_box")) > most))
+    return found.select(F.col("uid").alias("better"), F.col("b_uid").alias("worse"))
+
+
+def usable_pair_counts(boxes: DataFrame, image: str = "image_id", gap: float = MIN_GAP, cell: float = CELL) -> DataFrame:
+    """O-17, O-18: (image, n): how many pairs of boxes of an image a two-object edit may take, without listing them.
+
+    All pairs of different classes, less those that are near each other. The former come from the numbers of each
+    class; the latter meet in cells that both boxes, widened by half the gap, touch, and count in one of them. Boxes with a null
+    corner or class are in no pair.
+    """
+    corners = ["x1", "y1", "x2", "y2"]
+    whole = boxes.dropna(subset=["class_name", *corners]).select(F.col(image).alias("image"), "class_name", *[F.col(c).cast("double").alias(c) for c in corners])
+    n = whole.groupBy("image", "class_name").agg(F.count("*").alias("n"))
+    of = n.groupBy("image").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("long").alias("pairs"))
+    rows = whole.withColumn("uid", F.monotonically_increasing_id())
+    place = lambda x, way: F.floor((F.col(x) + way * (gap / 2 + 1e-6)) / cell)
+    spread = rows.withColumn("cx", F.explode(F.sequence(place("x1", -1), place("x2", 1)))).withColumn("cy", F.explode(F.sequence(place("y1", -1), place("y2", 1))))
+    a, b = (spread.select("image", "cx", "cy", F.struct("uid", "class_name", *corners).alias(k)) for k in "ab")
+    a, b = written(a), b.select(*[F.col(c).alias(f"b_{c}") if c != "b" else F.col(c) for c in b.columns])
+    x, y = F.col("a"), F.col("b")
+    first = lambda c: F.floor((F.greatest(x[c], y[c]) - (gap / 2 + 1e-6)) / cell)  # noqa: E731  the first cell that both touch
+    meet = F.col("image").eqNullSafe(F.col("b_image")) & (F.col("cx") == F.col("b_cx")) & (F.col("cy") == F.col("b_cy"))
+    once = (F.col("cx") == first("x1")) & (F.col("cy") == first("y1")) & (x["uid"] < y["uid"])
+    near = a.join(b, meet & once & (x["class_name"] != y["class_name"]) & ~far_apart(x, y, gap))
+    near = near.groupBy(F.col("image").alias("near_image")).agg(F.count("*").alias("near"))
+    out = of.join(near, of["image"].eqNullSafe(near["near_image"]), "left")
+    return out.select(F.col("image").alias(image), (F.col("pairs") - F.coalesce("near", F.lit(0))).alias("n"))
+
+
+def _folded(boxes: DataFrame, most: float, image: str, ties: tuple[str, ...]) -> DataFrame:
+    """suppress() for images of few boxes: one array for each image holds its different boxes. Of exact copies all but the
+    first go whatever becomes of it, so they go in every task before the shuffle."""
     corners = ["x1", "y1", "x2", "y2"]
     rest = [c for c in boxes.columns if c not in {image, "score", *ties}]
     box = F.struct((-F.col("score")).alias("_order"), *ties, "score", *rest)

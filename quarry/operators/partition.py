@@ -9,21 +9,33 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.names import unused
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share; only a local session, whose tasks run in this
+    process, may go without and gets one of its own."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quarry-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(rows: DataFrame) -> DataFrame:
-    """A checkpoint; only a local session, whose tasks run in this process, may go without a folder of its own for it."""
-    context = rows.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quarry-"))
+    """A checkpoint in the shared folder."""
+    shared_folder(rows.sparkSession)
     return rows.checkpoint()
 
 

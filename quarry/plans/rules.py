@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions import describe, parse, text
+from quarry.functions import describe, masks, parse, text
 from quarry.operators import detect, geometry, resume, sample, scores, tasks
+from quarry.operators.partition import new_folder
+from quarry.sources import readers, writers
 
 from .queries import SEED, TIES, _far_sql, _with, query, read, view
 
@@ -199,3 +201,59 @@ def q_detected_classes(spark, sf_dir):
     """O-36, O-54, O-87: classes of an image's detections with their kinds."""
     rows = view(spark, sf_dir, "obj").groupBy("image_id", "class_name").agg(F.count("*").alias("n"), F.max("score").alias("best"))
     return rows.withColumn("kind", detect.class_kind(F.col("class_name"), _lit(["AF", "NO"]), _lit(["RF", "AO"])))
+
+
+@query(f"""WITH {_with('obj')}, o AS (SELECT *, row_number() OVER () AS u FROM obj)
+SELECT a.image_id, sum(CASE WHEN a.u < b.u AND a.class_name <> b.class_name AND {_far_sql('a', 'b')} THEN 1 ELSE 0 END)::BIGINT AS n
+FROM o a JOIN o b USING (image_id) GROUP BY a.image_id""")
+def q_far_pair_counts(spark, sf_dir):
+    """O-17, O-18: all usable pairs of an image, counted and not listed; there is no cut of its boxes."""
+    return detect.usable_pair_counts(view(spark, sf_dir, "obj"))
+
+
+_OPERATIONS = "['add', 'remove', 'replace', 'adjust']"
+
+
+@query(f"""WITH t AS (SELECT DISTINCT conv_id, {_OPERATIONS}[conv_id % 4 + 1] AS op0, {_OPERATIONS}[conv_id // 4 % 4 + 1] AS op1 FROM conversations WHERE conv_id IS NOT NULL)
+SELECT conv_id AS task_id, 0::BIGINT AS turn, 'compose_' || op0 AS driver, 'original' AS source, false AS last FROM t
+UNION ALL SELECT conv_id, 1, 'compose_' || op1, 'result_0', true FROM t""")
+def q_all_turns(spark, sf_dir):
+    """O-60: tasks of two operations, run to their last turn."""
+    names = _lit(sample.OPERATIONS)
+    operations = F.array(F.get(names, F.col("conv_id") % 4), F.get(names, F.floor(F.col("conv_id") / 4) % 4))
+    todo = read(spark, sf_dir, "conversations").select("conv_id").distinct().select(F.col("conv_id").alias("task_id"), operations.alias("operations"))
+    made = tasks.run_turns(todo, new_folder(spark, "turns"), lambda df: df, [f"compose_{o}" for o in sample.OPERATIONS])
+    return made.select("task_id", "turn", "driver", "source", "last")
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS key, doc_id, lang, n_chars, md5(text) AS digest, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE md5(text) END AS answer,
+CASE WHEN doc_id % 3 = 0 THEN concat('failed: "', lang, '"') END AS error FROM documents WHERE doc_id IS NOT NULL""")
+def q_json_documents(spark, sf_dir):
+    """O-1, O-5, O-74, O-78: all documents as one map and as one array, and results with errors, written and read by byte ranges."""
+    folder, docs = new_folder(spark, "json"), read(spark, sf_dir, "documents").where("doc_id IS NOT NULL")
+    writers.json_document(docs.select(F.col("doc_id").cast("string").alias("key"), "doc_id", "lang"), f"{folder}/map.json", "key")
+    writers.json_document(docs.select("doc_id", "n_chars", "text"), f"{folder}/list.json")
+    failed = F.col("doc_id") % 3 == 0
+    told = docs.select(F.col("doc_id").cast("string").alias("key"), F.when(~failed, F.col("text")).alias("text"), F.when(failed, F.concat(F.lit('failed: "'), "lang", F.lit('"'))).alias("error"))
+    writers.as_result_map(told, f"{folder}/results.json")
+    keyed = readers.keyed_items(spark, f"{folder}/map.json", "struct<doc_id:bigint,lang:string>")
+    listed = readers.json_array(spark, f"{folder}/list.json", "doc_id long, n_chars long, text string").select("doc_id", "n_chars", F.md5("text").alias("digest"))
+    results = readers.result_map(spark, f"{folder}/results.json").select("key", F.md5("text").alias("answer"), "error")
+    return keyed.join(listed, "doc_id").join(results, "key")
+
+
+_MASK = "p_size % 5 + 3"
+
+
+@query(f"SELECT p_partkey, ({_MASK}) * (p_size % 3 + 1) AS area, ({_MASK} + 4) * 8 - ({_MASK}) * (p_size % 3 + 1) AS outside, 4 * ({_MASK}) * (p_size % 3 + 1) AS doubled FROM part")
+def q_mask_areas(spark, sf_dir):
+    """O-44, O-45, O-46: boxes drawn as pixels, as runs, turned inside out, and at twice the size."""
+    high, wide = F.expr(f"CAST({_MASK} AS INT)"), F.expr("CAST(p_size % 3 + 1 AS INT)")
+    height, width = high + 4, F.lit(8)
+    row = F.concat(F.lit("00" * 2), F.repeat(F.lit("01"), wide), F.repeat(F.lit("00"), 6 - wide))
+    pixels = F.unhex(F.concat(F.repeat(F.lit("00" * 8), F.lit(1)), F.repeat(row, high), F.repeat(F.lit("00" * 8), F.lit(3))))
+    text = masks.encode_mask(pixels, height, width)
+    drawn = read(spark, sf_dir, "part").select("p_partkey", text.alias("m"), height.alias("h"), width.alias("w"))
+    sized = drawn.withColumn("big", masks.resize_mask("m", "h", "w", F.col("h") * 2, F.col("w") * 2)).withColumn("region", masks.edit_region("m", "h", "w"))
+    outside = F.length(F.replace(F.hex("region"), F.lit("00"), F.lit(""))) / 2
+    return sized.select("p_partkey", masks.mask_area("m").alias("area"), outside.cast("long").alias("outside"), masks.mask_area("big").alias("doubled"))
