@@ -6,6 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +81,18 @@ def _forget(spark: SparkSession, path: str) -> None:
         pass
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most_bytes: int):
+    """Inside, rows go to Python in batches of so many bytes, for tables with large rows that are materialised there."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and a lost executor costs nothing."""
     path = new_path(df.sparkSession, name)
