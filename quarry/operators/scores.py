@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.parse import judge_mean
@@ -61,3 +61,14 @@ def report(rows: DataFrame, kept: Column) -> DataFrame:
     """O-57: one row (total, kept, dropped)."""
     n = F.count(F.when(kept, 1))
     return rows.agg(F.count("*").alias("total"), n.alias("kept"), (F.count("*") - n).alias("dropped"))
+
+
+def counted_as_written(rows: DataFrame, kept: Column, name: str = "report") -> tuple[DataFrame, Observation]:
+    """O-57 without a pass of its own: the kept rows, and their report, which is there once they have been written.
+
+    The observation's get is then {total, kept, dropped}; it waits for the first action on the rows. A null condition drops.
+    """
+    watch = Observation(name)
+    n = F.count(F.when(kept, 1))
+    seen = rows.observe(watch, F.count(F.lit(1)).alias("total"), n.alias("kept"), (F.count(F.lit(1)) - n).alias("dropped"))
+    return seen.where(kept), watch

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions import describe, masks, parse, text
-from quarry.operators import detect, geometry, resume, sample, scores, tasks
+from quarry.functions import describe, masks, parse, runs, text
+from quarry.operators import batches, detect, geometry, pacing, resume, sample, scores, tasks
 from quarry.operators.partition import new_folder
 from quarry.sources import readers, writers
+from quarry.streaming.turns import follow_turns
 
 from .queries import SEED, TIES, _far_sql, _with, query, read, view
 
@@ -257,3 +258,81 @@ def q_mask_areas(spark, sf_dir):
     sized = drawn.withColumn("big", masks.resize_mask("m", "h", "w", F.col("h") * 2, F.col("w") * 2)).withColumn("region", masks.edit_region("m", "h", "w"))
     outside = F.length(F.replace(F.hex("region"), F.lit("00"), F.lit(""))) / 2
     return sized.select("p_partkey", masks.mask_area("m").alias("area"), outside.cast("long").alias("outside"), masks.mask_area("big").alias("doubled"))
+
+
+_SPOT = "l_linenumber * 4 AS x1, l_partkey % 20 AS y1, l_linenumber * 4 + 6 AS x2, l_partkey % 20 + 1 + l_suppkey % 25 AS y2"
+
+
+@query(f"""WITH b AS (SELECT l_partkey, {_SPOT} FROM lineitem),
+p AS (SELECT DISTINCT l_partkey, x, y FROM (SELECT *, unnest(range(x1, x2)) AS x FROM b), LATERAL (SELECT unnest(range(y1, least(y2, 40))) AS y) WHERE x < 32)
+SELECT l_partkey, count(*) AS area, min(x) AS x1, min(y) AS y1, max(x) + 1 AS x2, max(y) + 1 AS y2 FROM p GROUP BY l_partkey""")
+def q_mask_unions(spark, sf_dir):
+    """O-44: masks of boxes, united for each part without drawing a pixel; its area and box. The boxes are cut to 40 by 32."""
+    spots = read(spark, sf_dir, "lineitem").selectExpr("l_partkey", *_SPOT.split(", "))
+    drawn = spots.select("l_partkey", runs.box_mask("x1", "y1", "x2", "y2", F.lit(40), F.lit(32)).alias("m"))
+    made = runs.union_by(drawn, ["l_partkey"], "m").select("l_partkey", masks.mask_area("m").alias("area"), runs.mask_box("m", F.lit(40)).alias("b"))
+    return made.select("l_partkey", "area", *[F.col("b")[k].alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))])
+
+
+_TWO = "p_size % 7 AS a1, p_size % 7 + 9 AS a2, p_partkey % 11 AS b1, p_partkey % 11 + 5 AS b2"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, {_TWO} FROM part), c AS (SELECT *, greatest(0, least(a2, b2) - greatest(a1, b1)) AS met FROM t)
+SELECT p_partkey, (9 * 9 + 5 * 5 - met * met)::BIGINT AS either, (met * met)::BIGINT AS common, (81 - met * met)::BIGINT AS only_first, met * met / (106 - met * met)::DOUBLE AS overlap,
+(4 * met * met)::BIGINT AS doubled, a1 = 0 OR a2 = 16 AS at_border FROM c""")
+def q_mask_pairs(spark, sf_dir):
+    """O-44, O-46: two square masks of each part: together, shared, apart, overlap, twice the size, at the border (16 by 16)."""
+    t = read(spark, sf_dir, "part").selectExpr("p_partkey", *_TWO.split(", "))
+    side = F.lit(16)
+    pair = t.select("p_partkey", runs.box_mask("a1", "a1", "a2", "a2", side, side).alias("a"), runs.box_mask("b1", "b1", "b2", "b2", side, side).alias("b"))
+    made = pair.withColumn("both", runs.mask_intersection("a", "b"))
+    return made.select(
+        "p_partkey", masks.mask_area(runs.mask_union("a", "b")).alias("either"), masks.mask_area("both").alias("common"), masks.mask_area(runs.mask_difference("a", "b")).alias("only_first"),
+        runs.mask_overlap("a", "b").alias("overlap"), masks.mask_area(runs.mask_resized("both", side, side, side * 2, side * 2)).alias("doubled"),
+        runs.mask_touches_border("a", side, side).alias("at_border"),
+    )
+
+
+class _Sizes:
+    """A detector's stand-in: one box for each label, as wide as the image has bytes; a page of 7 labels breaks the call."""
+
+    def __call__(self, contents, labels):
+        if any(len(names) == 7 for names in labels):
+            raise ValueError("broken image")
+        return [[{"class_name": c, "bbox": [0.0, 0.0, float(len(data)), 1.0], "score": 0.5, "mask": None} for c in names] for data, names in zip(contents, labels)]
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 8 <> 7 THEN page_id % 8 END AS n, CASE WHEN page_id % 8 NOT IN (0, 7) THEN strlen(html)::DOUBLE END AS width,
+CASE WHEN page_id % 8 = 7 THEN 'broken image' END AS error FROM pages""")
+def q_batched_boxes(spark, sf_dir):
+    """O-86: pages as images of five heights, detected in batches of one height; a broken one leaves its batch alone."""
+    names = F.when(F.col("page_id") % 8 > 0, F.transform(F.sequence(F.lit(1).cast("long"), F.col("page_id") % 8), lambda k: k.cast("string")))
+    pages = read(spark, sf_dir, "pages").select("page_id", F.encode("html", "utf-8").alias("content"), names.alias("labels"), (F.col("page_id") % 5).alias("height"))
+    found = batches.detected_in_batches(pages, pacing.once_a_worker("sizes", _Sizes), shape=("height",))
+    return found.select("page_id", F.when(F.col("error").isNull(), F.size("boxes").cast("long")).alias("n"), F.get("boxes", F.lit(0))["bbox"][2].alias("width"), "error")
+
+
+@query(f"WITH {_with('img')} SELECT count(*) AS total, count(*) FILTER (aes > 4.75 AND height > 512 AND width > 512) AS kept, count(*) FILTER (NOT (aes > 4.75 AND height > 512 AND width > 512)) AS dropped FROM img")
+def q_counted_filter(spark, sf_dir):
+    """O-57: a filter's report, counted while its rows are written; the report is one row, made of three numbers."""
+    kept, watch = scores.counted_as_written(view(spark, sf_dir, "img"), F.expr("aes > 4.75D AND height > 512 AND width > 512"))
+    kept.write.parquet(new_folder(spark, "kept"))
+    return spark.createDataFrame([tuple(watch.get[c] for c in ("total", "kept", "dropped"))], "total long, kept long, dropped long")
+
+
+@query("""WITH o AS (SELECT DISTINCT conv_id, ['add', 'remove', 'replace', 'adjust'] AS ops FROM conversations), t AS (SELECT conv_id, unnest([0, 1]) AS turn, ops FROM o)
+SELECT conv_id::VARCHAR AS task_id, turn::BIGINT AS turn, 'compose_' || ops[CASE WHEN turn = 0 THEN conv_id % 4 ELSE conv_id // 4 % 4 END + 1] AS driver,
+CASE WHEN turn = 0 THEN 'original' ELSE 'result_0' END AS source, turn = 1 AS last, concat(conv_id, '-', turn) AS image FROM t""")
+def q_stream_turns(spark, sf_dir):
+    """O-60: tasks of two operations, as many as conversations, run to their end by the stream; each turn has one result."""
+    folder = new_folder(spark, "turns")
+    names = _lit(sample.OPERATIONS)
+    ids = read(spark, sf_dir, "conversations").select("conv_id").distinct()
+    ids.select(F.col("conv_id").cast("string").alias("task_id"), F.array(F.get(names, F.col("conv_id") % 4), F.get(names, F.floor(F.col("conv_id") / 4) % 4)).alias("operations")).write.parquet(f"{folder}/tasks")
+    edit = lambda df: df.withColumn("image", F.concat("task_id", F.lit("-"), F.col("next.turn")))
+    stream = follow_turns(spark, f"{folder}/tasks", "task_id string, operations array<string>", f"{folder}/results", edit, "image string", f"{folder}/state", [f"compose_{o}" for o in sample.OPERATIONS])
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return spark.read.parquet(f"{folder}/results").where("NOT failed").select("task_id", "turn", "driver", "source", "last", "image")
