@@ -1,16 +1,18 @@
 """Masks as runs (O-44 to O-47): union, difference, overlap, box and resizing on the ends of runs, without pixels.
 
-A mask is a rising array of flat places, column by column, at which it begins and ends: [begin, end, begin, end, ...].
-Work grows with the runs, for resizing also with the columns, never with the pixels. Null masks give null, masks of
-different sizes are met place by place, and a text that is no mask is an error.
+All masks of a batch are worked on at once, as Masks: the rising places at which they begin and end, column by column, each
+mask's after the one before. Work grows with the runs, for resizing also with the columns, never with the pixels. Null masks
+give null, masks of different sizes are met place by place, and a text that is no mask is an error.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType
@@ -26,205 +28,255 @@ def _inside(counts: np.ndarray) -> np.ndarray:
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def lengths(text: str) -> np.ndarray:
-    """Lengths of the runs, zeros first, from groups of five bits; from the fourth run on they are differences to two before."""
-    bits = np.frombuffer(text.encode(), np.uint8).astype(np.int64) - 48
-    last = np.flatnonzero((bits & 32) == 0)
-    if not bits.size:
-        return bits
-    if not last.size or last[-1] + 1 != bits.size or bits.min() < 0 or bits.max() > 63:
-        raise ValueError("no run-length text")
-    first = np.concatenate([[0], last[:-1] + 1])
-    groups = last - first + 1
-    out = np.add.reduceat((bits & 31) << (5 * _inside(groups)), first)
-    out -= np.where(bits[last] & 16, 1 << (5 * groups), 0)
-    out[1::2], out[2::2] = np.cumsum(out[1::2]), np.cumsum(out[2::2])
-    if out.min() < 0:
-        raise ValueError("a run of negative length")
-    return out
-
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Running totals, anew in each of the stretches of so many values."""
+    total, first = np.cumsum(values), np.cumsum(counts) - counts
+    before = np.concatenate([[0], total])[first]
+    return total - np.repeat(before, counts)
 
-def text_of(runs: np.ndarray) -> str:
-    values = runs.copy()
-    values[3:] -= runs[1:-2]
-    groups = np.ones(values.size, np.int64)
-    for k in range(1, 12):
-        half = 1 << (5 * k - 1)
-        groups += (values >= half) | (values < -half)
-    place = _inside(groups)
-    bits = (np.repeat(values, groups) >> (5 * place)) & 31
-    bits[place < np.repeat(groups, groups) - 1] |= 32
-    return (bits + 48).astype(np.uint8).tobytes().decode()
 
+@dataclass
+class Masks:
+    """ends: begin, end, begin, end, ... of every run; owner: the mask of each; size: pixels of every mask."""
 
-def ends_of(text: str) -> tuple[np.ndarray, int]:
-    """(ends of the mask's runs, pixels in all)."""
-    at = np.cumsum(lengths(text))
-    places, times = np.unique(at[: at.size // 2 * 2], return_counts=True)
-    return places[times % 2 == 1], int(at[-1]) if at.size else 0
+    ends: np.ndarray
+    owner: np.ndarray
+    size: np.ndarray
 
+    @property
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, end, owner) of each run."""
+        return self.ends[0::2], self.ends[1::2], self.owner[0::2]
 
-def text_from(ends: np.ndarray, size: int) -> str:
-    whole = ends.size > 0 and ends[-1] == size
-    return text_of(np.diff(np.concatenate([[0], ends, [] if whole else [size]]).astype(np.int64)))
+    def area(self) -> np.ndarray:
+        begin, end, owner = self.runs
+        out = np.zeros(self.size.size, np.int64)
+        np.add.at(out, owner, end - begin)
+        return out
 
 
-def swept(masks: list[np.ndarray], signs: list[int], least: int) -> np.ndarray:
-    """Ends of the places where the signs of the masks that cover them sum to least or more; runs may be in any order."""
-    at = np.concatenate(masks).astype(np.int64)
-    step = np.concatenate([np.tile([s, -s], m.size // 2) for m, s in zip(masks, signs)])
-    places, where = np.unique(at, return_inverse=True)
+def swept(ends: np.ndarray, owner: np.ndarray, step: np.ndarray, size: np.ndarray, least: int) -> Masks:
+    """Where the steps of the runs that cover a place sum to least or more; ends in any order, with what each adds."""
+    stride = int(size.max(initial=0)) + 1
+    places, where = np.unique(owner * stride + ends, return_inverse=True)
     inside = np.cumsum(np.bincount(where, step, places.size)) >= least
-    return places[np.diff(inside, prepend=False)]
-
-
-def union(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return swept([a, b], [1, 1], 1)
-
-
-def intersection(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return swept([a, b], [1, 1], 2)
-
+    places = places[np.diff(inside, prepend=False)]
+    return Masks(places % stride, places // stride, size)
 
-def difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return swept([a, b], [1, -1], 1)
 
+def _of_runs(begin: np.ndarray, end: np.ndarray, owner: np.ndarray, size: np.ndarray) -> Masks:
+    return swept(np.column_stack([begin, end]).ravel(), np.repeat(owner, 2), np.tile([1, -1], begin.size), size, 1)
 
-def area(ends: np.ndarray) -> int:
-    return int((ends[1::2] - ends[0::2]).sum())
 
-
-def box(ends: np.ndarray, height: int) -> list[int] | None:
+def decoded(texts: list[str]) -> Masks:
+    """Groups of five bits make the lengths of runs, zeros first; from a mask's fourth run on they are differences to two before."""
+    bits = np.frombuffer("".join(texts).encode(), np.uint8).astype(np.int64) - 48
+    long = np.array([len(t) for t in texts], np.int64)
+    ended = (bits & 32) == 0
+    stops = np.cumsum(long)[long > 0] - 1
+    if long.sum() != bits.size or not ended[stops].all() or ((bits < 0) | (bits > 63)).any():
+        raise ValueError("no run-length text")
+    last = np.flatnonzero(ended)
+    first = np.concatenate([[0], last[:-1] + 1]).astype(np.int64)[: last.size]
+    groups = last - first + 1
+    values = np.add.reduceat((bits & 31) << (5 * _inside(groups)), first) if last.size else last
+    values = values - np.where(bits[last] & 16, 1 << (5 * groups), 0)
+    owner = np.repeat(np.arange(len(texts)), long)[last]
+    count = np.bincount(owner, minlength=len(texts)).astype(np.int64)
+    place = _inside(count)
+    chain = owner * 3 + np.where(place == 0, 0, 2 - place % 2)  # the first run, those of the mask, those between
+    order = np.argsort(chain, kind="stable")
+    lengths = np.empty_like(values)
+    lengths[order] = _sums(values[order], np.unique(chain, return_counts=True)[1])
+    if (lengths < 0).any():
+        raise ValueError("a run of negative length")
+    at = _sums(lengths, count)
+    size = np.zeros(len(texts), np.int64)
+    size[owner] = at  # the last one of each counts
+    paired = place < np.repeat(count // 2 * 2, count)
+    return swept(at[paired], owner[paired], np.where(place[paired] % 2, -1, 1), size, 1)
+
+
+def encoded(masks: Masks) -> list[str]:
+    n = masks.size.size
+    count = np.bincount(masks.owner, minlength=n).astype(np.int64)
+    final = np.full(n, -1, np.int64)
+    final[masks.owner] = masks.ends
+    open_ = np.flatnonzero(final != masks.size)
+    owner = np.concatenate([masks.owner, open_])
+    order = np.argsort(owner, kind="stable")
+    at, owner = np.concatenate([masks.ends, masks.size[open_]])[order], owner[order]
+    count[open_] += 1
+    place = _inside(count)
+    lengths = at - np.where(place, np.concatenate([[0], at[:-1]])[: at.size], 0)
+    values = lengths - np.where(place > 2, np.concatenate([[0, 0], lengths[:-2]])[: at.size], 0)
+    groups, half = np.ones(values.size, np.int64), 16
+    while (more := (values >= half) | (values < -half)).any():
+        groups, half = groups + more, half << 5
+    k = _inside(groups)
+    bits = (np.repeat(values, groups) >> (5 * k)) & 31
+    bits = np.where(k < np.repeat(groups, groups) - 1, bits | 32, bits) + 48
+    text = bits.astype(np.uint8).tobytes().decode()
+    stops = np.cumsum(np.bincount(owner, groups, n).astype(np.int64)).tolist()
+    return [text[a:b] for a, b in zip([0, *stops], stops)]
+
+
+def met(a: Masks, b: Masks, sign: int, least: int) -> Masks:
+    """Mask by mask: sign 1 and least 1 for the union, 1 and 2 for what both have, -1 and 1 for what a alone has."""
+    step = np.concatenate([np.tile([1, -1], a.ends.size // 2), np.tile([sign, -sign], b.ends.size // 2)])
+    return swept(np.concatenate([a.ends, b.ends]), np.concatenate([a.owner, b.owner]), step, np.maximum(a.size, b.size), least)
+
+
+def boxes(masks: Masks, height: np.ndarray) -> list[list[int] | None]:
     """[x1, y1, x2, y2], ends exclusive; null for an empty mask."""
-    if not ends.size:
-        return None
-    begin, last = ends[0::2], ends[1::2] - 1
-    across = bool((begin // height != last // height).any())  # such a run meets the lowest row and the first one
-    top, bottom = (0, height) if across else (int((begin % height).min()), int((last % height).max()) + 1)
-    return [int(begin[0] // height), top, int(last[-1] // height) + 1, bottom]
+    begin, end, owner = masks.runs
+    h = height[owner]
+    across = begin // h != (end - 1) // h  # such a run meets the lowest row and the first one
+    sides = begin // h, np.where(across, 0, begin % h), (end - 1) // h + 1, np.where(across, h, (end - 1) % h + 1)
+    out: list[list[int] | None] = [None] * masks.size.size
+    if owner.size:
+        known, first = np.unique(owner, return_index=True)
+        found = [how.reduceat(s, first).tolist() for how, s in zip((np.minimum, np.minimum, np.maximum, np.maximum), sides)]
+        for k, b in zip(known.tolist(), zip(*found)):
+            out[k] = list(b)
+    return out
 
 
-def resized(ends: np.ndarray, height: int, width: int, new_height: int, new_width: int) -> np.ndarray:
+def resized(masks: Masks, height: np.ndarray, width: np.ndarray, new_height: np.ndarray, new_width: np.ndarray) -> Masks:
     """By nearest pixel: row y of the new mask is row y * height // new_height of the old one, columns likewise."""
-    begin, end = ends[0::2], ends[1::2]
-    first, last = begin // height, (end - 1) // height
+    if (masks.size != height * width).any():
+        raise ValueError("a mask and its image differ in pixels")
+    begin, end, owner = masks.runs
+    h = height[owner]
+    first, last = begin // h, (end - 1) // h
     n = last - first + 1
-    column = np.repeat(first, n) + _inside(n)
-    top = np.where(column == np.repeat(first, n), np.repeat(begin % height, n), 0)
-    bottom = np.where(column == np.repeat(last, n), np.repeat((end - 1) % height + 1, n), height)
+    own, k, left_over = np.repeat(owner, n), _inside(n), np.repeat(n, n)
+    column, h = np.repeat(first, n) + k, np.repeat(h, n)
+    top = np.where(k == 0, np.repeat(begin, n) % h, 0)
+    bottom = np.where(k == left_over - 1, (np.repeat(end, n) - 1) % h + 1, h)
     up = lambda x, old, new: -(-x * new // old)
-    top, bottom = up(top, height, new_height), up(bottom, height, new_height)
-    left, right = up(column, width, new_width), up(column + 1, width, new_width)
+    top, bottom = up(top, h, new_height[own]), up(bottom, h, new_height[own])
+    left, right = up(column, width[own], new_width[own]), up(column + 1, width[own], new_width[own])
     copies = np.where(bottom > top, right - left, 0)
-    start = (np.repeat(left, copies) + _inside(copies)) * new_height
-    return swept([np.column_stack([start + np.repeat(top, copies), start + np.repeat(bottom, copies)]).ravel()], [1], 1)
+    own = np.repeat(own, copies)
+    start = (np.repeat(left, copies) + _inside(copies)) * new_height[own]
+    return _of_runs(start + np.repeat(top, copies), start + np.repeat(bottom, copies), own, new_height * new_width)
 
 
-def _rows(kind, one, *columns: pd.Series) -> pd.Series:
-    """one() of each row, null where any of its values is null."""
-    return pd.Series([None if any(v is None or v is pd.NA or v != v for v in row) else one(*row) for row in zip(*columns)], dtype=kind)
+def drawn(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, height: np.ndarray, width: np.ndarray) -> Masks:
+    """Boxes of whole pixels, ends exclusive, cut to their images."""
+    x1, y1, x2, y2 = np.maximum(x1, 0), np.maximum(y1, 0), np.minimum(x2, width), np.minimum(y2, height)
+    columns = np.where(y2 > y1, np.maximum(x2 - x1, 0), 0)
+    own = np.repeat(np.arange(x1.size), columns)
+    start = (x1[own] + _inside(columns)) * height[own]
+    return _of_runs(start + y1[own], start + y2[own], own, height * width)
 
 
-def _both(a: str, b: str, how) -> str:
-    (x, n), (y, m) = ends_of(a), ends_of(b)
-    return text_from(how(x, y), max(n, m))
+def _known(how, *columns: pd.Series) -> pd.Series:
+    """how() of the rows that have no null, as a list; null for the others."""
+    whole = ~pd.concat([c.isna() for c in columns], axis=1).any(axis=1).to_numpy()
+    out = np.full(len(whole), None, object)
+    kept = [c.to_numpy()[whole] for c in columns]
+    found = how(*[c.astype(np.int64) if pd.api.types.is_numeric_dtype(c.dtype) else c.tolist() for c in kept]) if whole.any() else []
+    for k, v in zip(np.flatnonzero(whole), found):
+        out[k] = v
+    return pd.Series(out)
 
 
 @F.pandas_udf(StringType())
 def mask_union(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _rows(object, lambda x, y: _both(x, y, union), a, b)
+    return _known(lambda x, y: encoded(met(decoded(x), decoded(y), 1, 1)), a, b)
 
 
 @F.pandas_udf(StringType())
 def mask_intersection(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _rows(object, lambda x, y: _both(x, y, intersection), a, b)
+    return _known(lambda x, y: encoded(met(decoded(x), decoded(y), 1, 2)), a, b)
 
 
 @F.pandas_udf(StringType())
 def mask_difference(a: pd.Series, b: pd.Series) -> pd.Series:
     """What is in a and not in b."""
-    return _rows(object, lambda x, y: _both(x, y, difference), a, b)
+    return _known(lambda x, y: encoded(met(decoded(x), decoded(y), -1, 1)), a, b)
 
 
 @F.pandas_udf(DoubleType())
 def mask_overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     """Pixels in both by pixels in either; null where both are empty."""
 
-    def one(x, y):
-        (x, _), (y, _) = ends_of(x), ends_of(y)
-        either = area(union(x, y))
-        return area(intersection(x, y)) / either if either else None
+    def share(x, y):
+        x, y = decoded(x), decoded(y)
+        both, either = met(x, y, 1, 2).area().tolist(), met(x, y, 1, 1).area().tolist()
+        return [p / q if q else None for p, q in zip(both, either)]
 
-    return _rows(object, one, a, b)
+    return _known(share, a, b)
 
 
 @F.pandas_udf(BooleanType())
 def mask_touches_border(text: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """Whether the mask meets the border of its image."""
 
-    def one(t, h, w):
-        found = box(ends_of(t)[0], int(h))
-        return found is not None and (found[0] == 0 or found[1] == 0 or found[2] == w or found[3] == h)
+    def touches(t, h, w):
+        return [b is not None and (0 in b[:2] or b[2] == x or b[3] == y) for b, y, x in zip(boxes(decoded(t), h), h, w)]
 
-    return _rows(object, one, text, height, width)
+    return _known(touches, text, height, width)
 
 
 @F.pandas_udf(ArrayType(LongType()))
 def mask_box(text: pd.Series, height: pd.Series) -> pd.Series:
-    return _rows(object, lambda t, h: box(ends_of(t)[0], int(h)), text, height)
+    return _known(lambda t, h: boxes(decoded(t), h), text, height)
 
 
 @F.pandas_udf(StringType())
 def mask_resized(text: pd.Series, height: pd.Series, width: pd.Series, new_height: pd.Series, new_width: pd.Series) -> pd.Series:
     """O-46; equal to masks.resize_mask, which goes over pixels."""
-
-    def one(t, *sides):
-        h, w, h2, w2 = map(int, sides)
-        ends, size = ends_of(t)
-        if size != h * w:
-            raise ValueError(f"{size} pixels in the mask, {h * w} in the image")
-        return text_from(resized(ends, h, w, h2, w2), h2 * w2)
-
-    return _rows(object, one, text, height, width, new_height, new_width)
+    return _known(lambda t, *sides: encoded(resized(decoded(t), *sides)), text, height, width, new_height, new_width)
 
 
 @F.pandas_udf(StringType())
 def box_mask(x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """The mask of a box of whole pixels, ends exclusive, cut to its image."""
-
-    def one(*sides):
-        x1, y1, x2, y2, h, w = map(int, sides)
-        x1, y1, x2, y2 = max(x1, 0), max(y1, 0), min(x2, w), min(y2, h)
-        start = np.arange(x1, x2 if y2 > y1 else x1) * h
-        return text_from(swept([np.column_stack([start + y1, start + y2]).ravel()], [1], 1), h * w)
-
-    return _rows(object, one, x1, y1, x2, y2, height, width)
+    return _known(lambda *sides: encoded(drawn(*sides)), x1, y1, x2, y2, height, width)
 
 
-def _united(texts) -> str | None:
-    known = [ends_of(t) for t in texts if t is not None]
-    if not known:
-        return None
-    return text_from(reduce(union, (e for e, _ in known)), max(n for _, n in known))
+def united(texts: list[str], group: np.ndarray, groups: int) -> list[str]:
+    """The union of the masks of each group, which all have one; as large as the largest of them."""
+    masks = decoded(texts)
+    size = np.zeros(groups, np.int64)
+    np.maximum.at(size, group, masks.size)
+    begin, end, owner = masks.runs
+    return encoded(_of_runs(begin, end, group[owner], size))
 
 
 def union_by(rows: DataFrame, keys: list[str], mask: str, salts: int = SALTS) -> DataFrame:
     """One row for each of keys, nulls together, with the union of its masks in column mask; null where it has none.
 
-    Masks of a key are united inside each batch of a task, then in salted groups, then all: a hot key is spread over
-    salts tasks, and the last step meets at most salts masks of it.
+    Masks of a key are united inside each batch of a task, and again after a shuffle by salted keys, then what is left of a key: a hot
+    key is spread over salts tasks, and the last step meets one of its masks for each salt and batch there, not one a row.
     """
-    (salt,) = unused(rows, "_salt")
-    narrow = rows.select(*keys, mask)
+    salt, row = unused(rows, "_salt", "_row")
+    kept = rows.select(*keys, mask)
 
     def partial(batches):
         for b in batches:
-            if len(b):
-                yield b.groupby(keys, dropna=False, sort=False)[mask].agg(_united).reset_index()
+            if not b.num_rows:
+                continue
+            table = pa.Table.from_batches([b]).append_column(row, pa.array(range(b.num_rows)))
+            groups = table.group_by(keys).aggregate([(row, "list")]).combine_chunks()  # nulls are a group
+            lists = groups[f"{row}_list"].chunk(0)
+            texts = b.column(mask).take(lists.flatten())
+            place = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())[pc.is_valid(texts).to_numpy(zero_copy_only=False)]
+            known, group = np.unique(place, return_inverse=True)
+            out = np.full(len(lists), None, object)
+            if known.size:
+                out[known] = united(texts.drop_null().to_pylist(), group, known.size)
+            columns = [pa.array(out, pa.string()) if c == mask else groups[c].chunk(0) for c in b.schema.names]
+            yield pa.RecordBatch.from_arrays(columns, b.schema.names)
 
     @F.pandas_udf(StringType())
     def all_of(texts: pd.Series) -> str:
-        return _united(texts)
+        known = texts.dropna().tolist()
+        return united(known, np.zeros(len(known), np.int64), 1)[0] if known else None
 
-    near = narrow.mapInPandas(partial, narrow.schema).withColumn(salt, F.spark_partition_id() % salts)
-    return near.groupBy(*keys, salt).agg(all_of(mask).alias(mask)).groupBy(*keys).agg(all_of(mask).alias(mask))
+    near = kept.mapInArrow(partial, kept.schema).withColumn(salt, F.spark_partition_id() % salts)
+    near = near.repartition(*keys, salt).sortWithinPartitions(*keys).drop(salt).mapInArrow(partial, kept.schema)
+    return near.groupBy(*keys).agg(all_of(mask).alias(mask))
