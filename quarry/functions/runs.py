@@ -247,6 +247,18 @@ def united(texts: list[str], group: np.ndarray, groups: int) -> list[str]:
     return encoded(_of_runs(begin, end, group[owner], size))
 
 
+@F.pandas_udf(StringType())
+def mask_of_all(texts: pd.Series) -> pd.Series:
+    """The union of an array of masks, nulls left out; null for an empty array."""
+    known = texts.map(lambda t: [x for x in t if x is not None], na_action="ignore")
+    count = known.map(len, na_action="ignore").fillna(0).astype(np.int64).to_numpy()
+    out = np.full(len(texts), None, object)
+    some = np.flatnonzero(count)
+    if some.size:
+        out[some] = united([x for k in some for x in known.iloc[k]], np.repeat(np.arange(some.size), count[some]), some.size)
+    return pd.Series(out)
+
+
 def union_by(rows: DataFrame, keys: list[str], mask: str, salts: int = SALTS) -> DataFrame:
     """One row for each of keys, nulls together, with the union of its masks in column mask; null where it has none.
 
@@ -272,11 +284,6 @@ def union_by(rows: DataFrame, keys: list[str], mask: str, salts: int = SALTS) ->
             columns = [pa.array(out, pa.string()) if c == mask else groups[c].chunk(0) for c in b.schema.names]
             yield pa.RecordBatch.from_arrays(columns, b.schema.names)
 
-    @F.pandas_udf(StringType())
-    def all_of(texts: pd.Series) -> str:
-        known = texts.dropna().tolist()
-        return united(known, np.zeros(len(known), np.int64), 1)[0] if known else None
-
     near = kept.mapInArrow(partial, kept.schema).withColumn(salt, F.spark_partition_id() % salts)
     near = near.repartition(*keys, salt).sortWithinPartitions(*keys).drop(salt).mapInArrow(partial, kept.schema)
-    return near.groupBy(*keys).agg(all_of(mask).alias(mask))
+    return near.groupBy(*keys).agg(mask_of_all(F.collect_list(mask)).alias(mask))

@@ -64,4 +64,7 @@ def test_union_by_key(spark):
     for k, m in parts:
         whole[k] = whole.get(k, 0) | masks.decode(m, 9, 7) if m else whole.get(k, 0)
     assert found == {k: None if isinstance(m, int) else masks.encode(m) for k, m in whole.items()}
+    lists = spark.createDataFrame([(1, [parts[0][1], None, parts[1][1]]), (2, [None]), (3, []), (4, None)], "k int, m array<string>")
+    both = masks.decode(parts[0][1], 9, 7) | masks.decode(parts[1][1], 9, 7)
+    assert [r[0] for r in lists.orderBy("k").select(runs.mask_of_all("m")).collect()] == [masks.encode(both), None, None, None]
     assert runs.union_by(df.limit(0), ["_salt"], "m").count() == 0
