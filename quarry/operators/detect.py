@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.names import unused
-from quarry.operators.geometry import MIN_GAP, far_apart
+from quarry.operators.geometry import MIN_GAP, far_apart, usable_pair
 from quarry.operators.partition import written
+from quarry.operators.sample import lot
 
 TOP_K, MIN_SCORE, MAX_OVERLAP = 100, 0.005, 0.5
-#: Boxes of an image that are folded in one row; the least overlap for which larger images are spread over tasks; and the
-#: side of the cells in which boxes near each other meet.
-FOLD_BOXES, LEAST_OVERLAP, CELL = 1000, 0.1, 256.0
+#: Boxes of an image that are folded in one row; the least overlap for which larger images are spread over tasks; the side
+#: of the cells in which boxes near each other meet; and the parts of an image in which a drawn box looks for its second.
+FOLD_BOXES, LEAST_OVERLAP, CELL, SALTS = 1000, 0.1, 256.0, 16
 
 
 def confident(boxes: DataFrame, least: float = MIN_SCORE) -> DataFrame:
@@ -117,18 +118,16 @@ def overlapping(boxes: DataFrame, most: float, image: str, uid: str, order: str)
     return found.select(F.col("uid").alias("better"), F.col("b_uid").alias("worse"))
 
 
-def usable_pair_counts(boxes: DataFrame, image: str = "image_id", gap: float = MIN_GAP, cell: float = CELL) -> DataFrame:
-    """O-17, O-18: (image, n): how many pairs of boxes of an image a two-object edit may take, without listing them.
+def _boxes(boxes: DataFrame, image: str, *more: str) -> DataFrame:
+    """(image, class_name, corners, ...) of the boxes that can be in a pair: none of the corners and the class is null."""
+    corners = ["x1", "y1", "x2", "y2"]
+    return boxes.dropna(subset=["class_name", *corners]).select(F.col(image).alias("image"), "class_name", *[F.col(c).cast("double").alias(c) for c in corners], *more)
 
-    All pairs of different classes, less those that are near each other. The former come from the numbers of each
-    class; the latter meet in cells that both boxes, widened by half the gap, touch, and count in one of them. Boxes with a null
-    corner or class are in no pair.
-    """
+
+def _near(rows: DataFrame, gap: float, cell: float) -> DataFrame:
+    """Pairs of different classes that are near each other, once each: image, and structs a and b with uid. Both meet in cells
+    that they, widened by half the gap, touch, and count in the first of them."""
     corners = ["x1", "y1", "x2", "y2"]
-    whole = boxes.dropna(subset=["class_name", *corners]).select(F.col(image).alias("image"), "class_name", *[F.col(c).cast("double").alias(c) for c in corners])
-    n = whole.groupBy("image", "class_name").agg(F.count("*").alias("n"))
-    of = n.groupBy("image").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("long").alias("pairs"))
-    rows = whole.withColumn("uid", F.monotonically_increasing_id())
     place = lambda x, way: F.floor((F.col(x) + way * (gap / 2 + 1e-6)) / cell)
     spread = rows.withColumn("cx", F.explode(F.sequence(place("x1", -1), place("x2", 1)))).withColumn("cy", F.explode(F.sequence(place("y1", -1), place("y2", 1))))
     a, b = (spread.select("image", "cx", "cy", F.struct("uid", "class_name", *corners).alias(k)) for k in "ab")
@@ -137,12 +136,60 @@ def usable_pair_counts(boxes: DataFrame, image: str = "image_id", gap: float = M
     first = lambda c: F.floor((F.greatest(x[c], y[c]) - (gap / 2 + 1e-6)) / cell)  # noqa: E731  the first cell that both touch
     meet = F.col("image").eqNullSafe(F.col("b_image")) & (F.col("cx") == F.col("b_cx")) & (F.col("cy") == F.col("b_cy"))
     once = (F.col("cx") == first("x1")) & (F.col("cy") == first("y1")) & (x["uid"] < y["uid"])
-    near = a.join(b, meet & once & (x["class_name"] != y["class_name"]) & ~far_apart(x, y, gap))
+    return a.join(b, meet & once & (x["class_name"] != y["class_name"]) & ~far_apart(x, y, gap)).select("image", "a", "b")
+
+
+def usable_pair_counts(boxes: DataFrame, image: str = "image_id", gap: float = MIN_GAP, cell: float = CELL) -> DataFrame:
+    """O-17, O-18: (image, n): how many pairs of boxes of an image a two-object edit may take, without listing them.
+
+    All pairs of different classes, less those that are near each other. The former come from the numbers of each
+    class; the latter are found in cells. Boxes with a null corner or class are in no pair.
+    """
+    whole = _boxes(boxes, image)
+    n = whole.groupBy("image", "class_name").agg(F.count("*").alias("n"))
+    of = n.groupBy("image").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("long").alias("pairs"))
+    near = _near(whole.withColumn("uid", F.monotonically_increasing_id()), gap, cell)
     near = near.groupBy(F.col("image").alias("near_image")).agg(F.count("*").alias("near"))
     out = of.join(near, of["image"].eqNullSafe(near["near_image"]), "left")
     return out.select(F.col("image").alias(image), (F.col("pairs") - F.coalesce("near", F.lit(0))).alias("n"))
 
 
+def drawn_pairs(
+    boxes: DataFrame, n: int = 1, seed: int = 7, image: str = "image_id", ties: tuple[str, ...] = ("idx",), gap: float = MIN_GAP, cell: float = CELL
+) -> DataFrame:
+    """O-17, O-18: (image, draw, first, second): n draws among all usable pairs of each image, each pair as likely as another.
+
+    No box is cut and no pair is listed. How many partners a box has is counted, as in usable_pair_counts. The first box is drawn
+    by these numbers, in a race of lots that each task runs for itself before the shuffle; the second evenly from the
+    first's partners, in SALTS parts of an image. So a draw never fails: an image without a row has no usable pair. Draws may
+    repeat each other. ties tell boxes of an image apart; boxes equal in all of them have one lot, and are drawn as one.
+    """
+    corners = ["x1", "y1", "x2", "y2"]
+    tied = [f"tie_{k}" for k in range(len(ties))]
+    rows = _boxes(boxes.withColumns({t: F.col(c) for t, c in zip(tied, ties)}), image, *tied)
+    rows = written(rows.withColumn("uid", F.monotonically_increasing_id()))
+    own = rows.groupBy("image", "class_name").agg(F.count("*").alias("n"))
+    total = own.groupBy(F.col("image").alias("total_image")).agg(F.sum("n").alias("total"))
+    others = own.join(total, F.col("image").eqNullSafe(F.col("total_image")))
+    others = others.select(F.col("image").alias("own_image"), F.col("class_name").alias("own_class"), (F.col("total") - F.col("n")).alias("others"))
+    near = _near(rows, gap, cell).select(F.explode(F.array("a.uid", "b.uid")).alias("uid")).groupBy("uid").agg(F.count("*").alias("near"))
+    told = rows.join(others, F.col("image").eqNullSafe(F.col("own_image")) & (F.col("class_name") == F.col("own_class"))).join(near, "uid", "left")
+    told = told.withColumn("partners", F.col("others") - F.coalesce("near", F.lit(0))).where("partners > 0")
+    box = [*tied, "class_name", *corners]
+    chance = lambda k, side: lot(seed, "image", *tied, k if not isinstance(k, int) else F.lit(str(k)), F.lit(side))
+    part = lambda k: (F.conv(F.substring(chance(k, "first"), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)  # noqa: E731  in (0, 1)
+    race = [F.min(F.struct((-F.ln(part(k)) / F.col("partners")).alias("_lot"), *box)).alias(f"draw_{k}") for k in range(n)]
+    firsts = told.groupBy("image").agg(*race).select("image", F.posexplode(F.array(*[f"draw_{k}" for k in range(n)])).alias("draw", "first"))
+    firsts = firsts.select(F.col("image").alias("first_image"), "draw", F.col("first").dropFields("_lot").alias("first"))
+    firsts = firsts.withColumn("first_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int")).withColumn("box", F.struct(*box))
+    pairs = salted.join(firsts, F.col("image").eqNullSafe(F.col("first_image")) & (F.col("salt") == F.col("first_salt")))
+    pairs = pairs.where(usable_pair(F.col("first"), F.col("box"), gap))
+    best = pairs.groupBy("image", "draw", "first").agg(F.min(F.struct(chance(F.col("draw").cast("string"), "second").alias("_lot"), *box)).alias("second"))
+    named = lambda x: F.struct(*[x[t].alias(c) for t, c in zip(tied, ties)], *[x[c].alias(c) for c in ("class_name", *corners) if c not in ties])
+    return best.select(F.col("image").alias(image), "draw", named(F.col("first")).alias("first"), named(F.col("second")).alias("second"))
+
+
 def _folded(boxes: DataFrame, most: float, image: str, ties: tuple[str, ...]) -> DataFrame:
     """suppress() for images of few boxes: one array for each image holds its different boxes. Of exact copies all but the
     first go whatever becomes of it, so they go in every task before the shuffle."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions import describe, masks, parse, runs, text
 from quarry.operators import batches, detect, geometry, pacing, resume, sample, scores, tasks
 from quarry.operators.partition import new_folder
-from quarry.sources import readers, writers
+from quarry.sources import readers, versions, writers
 from quarry.streaming.turns import follow_turns
 
 from .queries import SEED, TIES, _far_sql, _with, query, read, view
@@ -336,3 +336,34 @@ def q_stream_turns(spark, sf_dir):
     finally:
         stream.stop()
     return spark.read.parquet(f"{folder}/results").where("NOT failed").select("task_id", "turn", "driver", "source", "last", "image")
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey IS NOT NULL)
+AND NOT (o_orderstatus = 'O' AND o_orderkey % 2 = 0)""")
+def q_indexed_resume(spark, sf_dir):
+    """O-20, O-76: orders without an output, by the index of two versions of outputs: of orders with a returned item, and of even open ones."""
+    root, orders = new_folder(spark, "outputs"), read(spark, sf_dir, "orders")
+    versions.add_version(read(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber"), root, 0, "o_orderkey")
+    versions.add_version(orders.where("o_orderstatus = 'O' AND o_orderkey % 2 = 0").select("o_orderkey", "o_orderdate"), root, 1, "o_orderkey")
+    return versions.missing_in_versions(orders.select("o_orderkey"), root, "o_orderkey")
+
+
+def _lot_sql(side, row):
+    return f"md5(concat_ws(':', {row}.image_id, {row}.idx, {row}.pk, {row}.sk, 0, '{side}', '{SEED}'))"
+
+
+_ROW = "idx, pk, sk, class_name, x1, y1, x2, y2"
+
+
+@query(f"""WITH {_with('obj')}, o AS (SELECT *, row_number() OVER () AS u FROM obj),
+p AS (SELECT a.u AS au, b.u AS bu FROM o a JOIN o b USING (image_id) WHERE a.class_name <> b.class_name AND {_far_sql('a', 'b')}),
+w AS (SELECT au, count(*) AS n FROM p GROUP BY au),
+f AS (SELECT o.*, row_number() OVER (PARTITION BY image_id ORDER BY -ln((('0x' || substr({_lot_sql('first', 'o')}, 1, 12))::BIGINT + 0.5) / 281474976710656.0) / n, {_ROW}) AS rn FROM o JOIN w ON u = au),
+s AS (SELECT f.image_id, f.idx AS first_idx, f.pk AS first_pk, f.sk AS first_sk, o.idx AS second_idx, o.pk AS second_pk, o.sk AS second_sk,
+ row_number() OVER (PARTITION BY f.image_id ORDER BY {_lot_sql('second', 'o')}, {', '.join('o.' + c for c in _ROW.split(', '))}) AS rn
+ FROM f JOIN p ON f.u = au JOIN o ON o.u = bu WHERE rn = 1)
+SELECT * EXCLUDE (rn) FROM s WHERE rn = 1""")
+def q_drawn_pairs(spark, sf_dir):
+    """O-17, O-18: one of all usable pairs of each image, each as likely as another; there is no cut of its boxes."""
+    drawn = detect.drawn_pairs(view(spark, sf_dir, "obj"), 1, SEED, ties=("idx", "pk", "sk"))
+    return drawn.select("image_id", *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("first", "second") for c in ("idx", "pk", "sk")])
