@@ -85,3 +85,55 @@ def premise_not_repeated(premise: Column, rounds: list[Column]) -> Column:
     for r in rounds:
         out = out & ~F.contains(r, premise)
     return out
+
+
+#: Words that give an order, words of a sentence, and words that tell nothing of an object.
+ORDERS = ("add", "adjust", "change", "delete", "insert", "make", "place", "put", "remove", "replace", "swap", "turn")
+SENTENCE = ("are", "be", "has", "have", "is", "should", "was", "were", "will")
+PLAIN = ("a", "all", "an", "and", "any", "are", "as", "at", "be", "by", "every", "for", "from", "in", "is", "it", "its", "must", "of", "on", "or", "should", "the", "their", "to", "with")
+
+
+def words(text: Column) -> Column:
+    """Runs of letters and digits, in lower case."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def noun_phrase(text: Column, most: int = 8) -> Column:
+    """Whether a text can name an object: one to most words, none a word of a sentence, the first none of the orders, and no mark
+    that ends or divides sentences. "None" names nothing. A rule of form: it knows no grammar."""
+    own = words(text)
+    sentence, orders, none = (F.array(*map(F.lit, x)) for x in (SENTENCE, ORDERS, ("none",)))
+    plain = ~text.rlike(r"[.;:!?\n]\s*\S") & ~F.arrays_overlap(own, sentence) & ~F.array_contains(orders, F.get(own, 0)) & (own != none)
+    return F.size(own).between(1, most) & F.coalesce(plain, F.lit(False))
+
+
+def result_named(op: Column, result: Column) -> Column:
+    """O-98: "None" for operations that leave no object to name, else a noun with or without adjectives; null is neither."""
+    none = F.lower(F.rtrim(strip(result), F.lit("."))) == "none"
+    return F.coalesce(F.when(op.isin("add", "remove"), none).otherwise(noun_phrase(result)), F.lit(False))
+
+
+def shares_run(premise: Column, text: Column, run: int = 3) -> Column:
+    """Whether run words of the premise, all of a shorter one, stand side by side in the text. Null shares nothing."""
+    own = words(premise)
+    k = F.least(F.lit(run), F.size(own))
+    bordered = lambda ws: F.concat(F.lit(" "), F.array_join(ws, " "), F.lit(" "))
+    runs = F.transform(F.sequence(F.lit(1), F.size(own) - k + 1), lambda i: bordered(F.slice(own, i, k)))
+    return F.coalesce(F.when(k > 0, F.exists(runs, lambda r: F.contains(bordered(words(text)), r))), F.lit(False))
+
+
+def reflects(premise: Column, result: Column, least: float = 0.5) -> Column:
+    """Whether at least this share of the premise's telling words is in the result; a premise without any is always reflected."""
+    telling = F.array_distinct(F.filter(words(premise), lambda w: ~w.isin(*PLAIN)))
+    met = F.size(F.array_intersect(telling, words(result)))
+    return F.coalesce(F.when(F.size(telling) == 0, True).otherwise(met >= least * F.size(telling)), F.lit(False))
+
+
+def premise_kept(premise: Column, rounds: list[Column], results: list[Column]) -> Column:
+    """O-99: struct(fresh, reflected): no round repeats the premise in its own words, and every result shows it."""
+    fresh, shown = F.lit(True), F.lit(True)
+    for r in rounds:
+        fresh = fresh & ~shares_run(premise, r)
+    for r in results:
+        shown = shown & reflects(premise, r)
+    return F.struct(fresh.alias("fresh"), shown.alias("reflected"))

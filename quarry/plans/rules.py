@@ -367,3 +367,31 @@ def q_drawn_pairs(spark, sf_dir):
     """O-17, O-18: one of all usable pairs of each image, each as likely as another; there is no cut of its boxes."""
     drawn = detect.drawn_pairs(view(spark, sf_dir, "obj"), 1, SEED, ties=("idx", "pk", "sk"))
     return drawn.select("image_id", *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("first", "second") for c in ("idx", "pk", "sk")])
+
+
+def _words_sql(t):
+    return f"list_filter(regexp_split_to_array(lower({t}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+
+
+def _among(ws):
+    return "(" + ", ".join(f"'{w}'" for w in ws) + ")"
+
+
+_SAID = [
+    "concat('Make the ', p_type)", "concat('change it, ', lower(p_name), ' of old')", "concat('put a ', split_part(p_name, ' ', 1), ' ', p_type)", "concat(p_brand, ' and ', p_name)",
+]
+_ROUND = "CASE p_partkey % 4 " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(_SAID)) + " END"
+_SHOWN = "CASE p_size % 5 WHEN 0 THEN 'None' WHEN 1 THEN concat('a ', p_name) WHEN 2 THEN concat('It is ', p_type) WHEN 3 THEN concat(split_part(p_name, ' ', 1), ' box') ELSE concat('Replace ', p_brand) END"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, {_words_sql('p_name')} AS p, {_words_sql(_ROUND)} AS r, {_words_sql(_SHOWN)} AS s, {_SHOWN} AS said, p_size % 3 = 0 AS adds FROM part),
+k AS (SELECT *, least(3, len(p)) AS n, list_distinct(list_filter(p, lambda w: w NOT IN {_among(text.PLAIN)})) AS telling FROM t)
+SELECT p_partkey, CASE WHEN adds THEN lower(said) = 'none' ELSE len(s) BETWEEN 1 AND 8 AND s[1] NOT IN {_among(text.ORDERS)} AND s <> ['none'] AND len(list_filter(s, lambda w: w IN {_among(text.SENTENCE)})) = 0 END AS named,
+NOT (n > 0 AND len(list_filter(range(1, len(p) - n + 2), lambda i: contains(concat(' ', array_to_string(r, ' '), ' '), concat(' ', array_to_string(p[i:i + n - 1], ' '), ' ')))) > 0) AS fresh,
+2 * len(list_intersect(telling, s)) >= len(telling) AS reflected FROM k""")
+def q_premises(spark, sf_dir):
+    """O-98, O-99: results that name an object, and premises that rounds leave unsaid and results show."""
+    op = F.when(F.col("p_size") % 3 == 0, "add").otherwise("adjust")
+    said, shown = F.expr(_ROUND), F.expr(_SHOWN)
+    kept = text.premise_kept(F.col("p_name"), [said], [shown])
+    return read(spark, sf_dir, "part").select("p_partkey", text.result_named(op, shown).alias("named"), kept.alias("kept")).select("p_partkey", "named", "kept.*")

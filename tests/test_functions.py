@@ -124,3 +124,29 @@ def test_vocabulary_and_item_images(spark, tmp_path):
     rows = readers.with_images(items, files, f"{tmp_path}/in/", f"file://{tmp_path}/out").collect()
     found = {r.key: (r.original and bytes(r.original), r.result and bytes(r.result)) for r in rows}
     assert found == {"k1": (b"in/a/1.jpg", b"out/k1.png"), "k2": (None, None)}
+
+
+def test_results_name_objects(spark):
+    named = {
+        "a red wooden chair": True, "Chair": True, "Chair.": True, "none": False, "None.": False, "": False, "the chair is red": False, "Replace the chair": False,
+        "a chair. A table": False, "one two three four five six seven eight nine": False, "дубовый стол": True, "...": False, None: False,
+    }
+    assert values(spark, list(named), lambda c: text.result_named(F.lit("adjust"), c)) == list(named.values())
+    assert values(spark, ["None", "none.", "a chair", "", None], lambda c: text.result_named(F.lit("add"), c)) == [True, True, False, False, False]
+
+
+def test_premises_are_unsaid_and_shown(spark):
+    premise = "All objects are made of brushed copper"
+    cases = [
+        ("Swap the lamp for a vase", "a brushed copper vase", True, True),
+        ("Swap the lamp for one MADE of brushed, copper", "copper vase", False, False),
+        ("Swap the brushed lamp", "objects made of brushed copper", True, True),  # a word alone is no repetition
+        ("unmade of brushed copperplate", None, True, False),
+        (None, "", True, False),
+    ]
+    rows = spark.createDataFrame([(premise, a, b) for a, b, *_ in cases], "p string, a string, b string")
+    got = rows.select(text.premise_kept(F.col("p"), [F.col("a")], [F.col("b")]).alias("k")).select("k.*").collect()
+    assert [tuple(r) for r in got] == [(c[2], c[3]) for c in cases]
+    short = spark.createDataFrame([("copper", "a copper lamp", "copper vase"), ("the", "no", "x"), (None, "a", "b"), ("", "a", "b")], "p string, a string, b string")
+    got = short.select(text.premise_kept(F.col("p"), [F.col("a")], [F.col("b")]).alias("k")).select("k.*").collect()
+    assert [tuple(r) for r in got] == [(False, True), (True, True), (True, False), (True, True)]
