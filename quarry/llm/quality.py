@@ -224,7 +224,10 @@ def scored(shapes: DataFrame, weights: np.ndarray) -> DataFrame:
 
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
-        return pa.array(np.clip((1 + _matrix(column) @ weights) / 2, 0.0, 1.0) if len(column) else [], pa.float64())
+        if not len(column):
+            return pa.array([], pa.float64())
+        rated = (_matrix(column) * weights).sum(axis=1)  # row by row, so that equal texts score alike wherever they lie
+        return pa.array(np.clip((1 + rated) / 2, 0.0, 1.0), pa.float64())
 
     return shapes.withColumn("score", score("shape"))
 

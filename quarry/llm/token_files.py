@@ -173,8 +173,8 @@ def write_token_files(
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("salt", F.rand(10))  # equal rows may go to any of several files
+    ordered = rows.repartitionByRange("doc_id", "tie", "salt").sortWithinPartitions("doc_id", "tie", "text").drop("tie", "salt")
     return materialise(ordered.mapInArrow(run, MANIFEST), "manifest")
 
 
