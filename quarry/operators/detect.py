@@ -16,6 +16,8 @@ TOP_K, MIN_SCORE, MAX_OVERLAP = 100, 0.005, 0.5
 #: Boxes of an image that are folded in one row; the least overlap for which larger images are spread over tasks; the side
 #: of the cells in which boxes near each other meet; and the parts of an image in which a drawn box looks for its second.
 FOLD_BOXES, LEAST_OVERLAP, CELL, SALTS = 1000, 0.1, 256.0, 16
+#: Boxes of an image whose pairs are looked at in one row; those of larger images meet in cells.
+PAIR_BOXES = 256
 
 
 def confident(boxes: DataFrame, least: float = MIN_SCORE) -> DataFrame:
@@ -49,12 +51,19 @@ def suppress(
     """
     if most < LEAST_OVERLAP or most >= 1:
         return _folded(boxes, most, image, ties)
+    few, many = _by_size(boxes, image, fold_boxes)
+    folded = _folded(few, most, image, ties)
+    return folded if many is None else folded.unionByName(_in_rounds(many, most, image, ties))
+
+
+def _by_size(boxes: DataFrame, image: str, fold_boxes: int) -> tuple[DataFrame, DataFrame | None]:
+    """The boxes of images of up to fold_boxes boxes, and those of larger ones; None where no image is larger."""
     (key,) = unused(boxes, "_image")
     large = written(boxes.groupBy(F.col(image).alias(key)).agg(F.count("*").alias("n")).where(F.col("n") > fold_boxes).select(key))
     if large.isEmpty():
-        return _folded(boxes, most, image, ties)
+        return boxes, None
     same = boxes[image].eqNullSafe(large[key])
-    return _folded(boxes.join(large, same, "left_anti"), most, image, ties).unionByName(_in_rounds(boxes.join(large, same, "left_semi"), most, image, ties))
+    return boxes.join(large, same, "left_anti"), boxes.join(large, same, "left_semi")
 
 
 def _in_rounds(boxes: DataFrame, most: float, image: str, ties: tuple[str, ...]) -> DataFrame:
@@ -155,18 +164,55 @@ def usable_pair_counts(boxes: DataFrame, image: str = "image_id", gap: float = M
 
 
 def drawn_pairs(
-    boxes: DataFrame, n: int = 1, seed: int = 7, image: str = "image_id", ties: tuple[str, ...] = ("idx",), gap: float = MIN_GAP, cell: float = CELL
-) -> DataFrame:
+    boxes: DataFrame, n: int = 1, seed: int = 7, image: str = "image_id", ties: tuple[str, ...] = ("idx",), gap: float = MIN_GAP, cell: float = CELL,
+    fold_boxes: int = PAIR_BOXES,
+) -> DataFrame:
     """O-17, O-18: (image, draw, first, second): n draws among all usable pairs of each image, each pair as likely as another.
 
-    No box is cut and no pair is listed. How many partners a box has is counted, as in usable_pair_counts. The first box is drawn
-    by these numbers, in a race of lots that each task runs for itself before the shuffle; the second evenly from the
-    first's partners, in SALTS parts of an image. So a draw never fails: an image without a row has no usable pair. Draws may
-    repeat each other. ties tell boxes of an image apart; boxes equal in all of them have one lot, and are drawn as one.
+    No box is cut and no pair is listed. How many partners a box has is counted; the first box is drawn by these numbers, in a race of
+    lots, and the second evenly from the first's partners. Images of up to fold_boxes boxes do all this in a row each, after one
+    shuffle. Those of larger ones count in cells, as in usable_pair_counts; their race is run by each task for itself before the
+    shuffle, and the second is drawn in SALTS parts of an image. So a draw never fails: an image without a row has no usable
+    pair. Draws may repeat each other. ties tell boxes of an image apart; boxes equal in all of them have one lot, and are drawn as one.
     """
     corners = ["x1", "y1", "x2", "y2"]
     tied = [f"tie_{k}" for k in range(len(ties))]
     rows = _boxes(boxes.withColumns({t: F.col(c) for t, c in zip(tied, ties)}), image, *tied)
+    box = [*tied, "class_name", *corners]
+
+    def chance(x, k: Column, side: str) -> Column:
+        return lot(seed, "image", *[x[t] for t in tied], k, F.lit(side))
+
+    def raced(x, k: int) -> Column:
+        """The box with its lot in the race of draw k, in which it counts as often as it has partners."""
+        part = (F.conv(F.substring(chance(x, F.lit(str(k)), "first"), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)  # in (0, 1)
+        return F.struct((-F.ln(part) / x["partners"]).alias("_lot"), *[x[c].alias(c) for c in box])
+
+    def second(x, draw: Column) -> Column:
+        return F.struct(chance(x, draw.cast("string"), "second").alias("_lot"), *[x[c].alias(c) for c in box])
+
+    few, many = _by_size(rows, "image", fold_boxes)
+    drawn = _folded_draws(few, box, n, gap, raced, second)
+    if many is not None:
+        drawn = drawn.unionByName(_spread_draws(many, box, n, gap, cell, raced, second))
+    named = lambda x: F.struct(*[x[t].alias(c) for t, c in zip(tied, ties)], *[x[c].alias(c) for c in ("class_name", *corners) if c not in ties])
+    return drawn.select(F.col("image").alias(image), "draw", named(F.col("first")).alias("first"), named(F.col("second")).alias("second"))
+
+
+def _folded_draws(rows: DataFrame, box: list[str], n: int, gap: float, raced: Callable[..., Column], second: Callable[..., Column]) -> DataFrame:
+    """drawn_pairs() for images of few boxes: one array for each image holds its boxes."""
+    whole = rows.groupBy("image").agg(F.collect_list(F.struct(*box)).alias("boxes"))
+    partners = lambda x: F.filter("boxes", lambda y: usable_pair(x, y, gap))
+    told = whole.withColumn("told", F.filter(F.transform("boxes", lambda x: x.withField("partners", F.size(partners(x)))), lambda x: x["partners"] > 0))
+    winner = lambda k: F.array_min(F.transform("told", lambda x: raced(x, k)))
+    drawn = told.select("image", "boxes", F.posexplode(F.array(*map(winner, range(n)))).alias("draw", "first")).where("first IS NOT NULL")
+    return drawn.select("image", "draw", "first", F.array_min(F.transform(partners(F.col("first")), lambda x: second(x, F.col("draw")))).alias("second"))
+
+
+def _spread_draws(
+    rows: DataFrame, box: list[str], n: int, gap: float, cell: float, raced: Callable[..., Column], second: Callable[..., Column]
+) -> DataFrame:
+    """drawn_pairs() for images of any number of boxes."""
     rows = written(rows.withColumn("uid", F.monotonically_increasing_id()))
     own = rows.groupBy("image", "class_name").agg(F.count("*").alias("n"))
     total = own.groupBy(F.col("image").alias("total_image")).agg(F.sum("n").alias("total"))
@@ -175,19 +221,15 @@ def drawn_pairs(
     near = _near(rows, gap, cell).select(F.explode(F.array("a.uid", "b.uid")).alias("uid")).groupBy("uid").agg(F.count("*").alias("near"))
     told = rows.join(others, F.col("image").eqNullSafe(F.col("own_image")) & (F.col("class_name") == F.col("own_class"))).join(near, "uid", "left")
     told = told.withColumn("partners", F.col("others") - F.coalesce("near", F.lit(0))).where("partners > 0")
-    box = [*tied, "class_name", *corners]
-    chance = lambda k, side: lot(seed, "image", *tied, k if not isinstance(k, int) else F.lit(str(k)), F.lit(side))
-    part = lambda k: (F.conv(F.substring(chance(k, "first"), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)  # noqa: E731  in (0, 1)
-    race = [F.min(F.struct((-F.ln(part(k)) / F.col("partners")).alias("_lot"), *box)).alias(f"draw_{k}") for k in range(n)]
+    own_row = {c: F.col(c) for c in [*box, "partners"]}
+    race = [F.min(raced(own_row, k)).alias(f"draw_{k}") for k in range(n)]
     firsts = told.groupBy("image").agg(*race).select("image", F.posexplode(F.array(*[f"draw_{k}" for k in range(n)])).alias("draw", "first"))
-    firsts = firsts.select(F.col("image").alias("first_image"), "draw", F.col("first").dropFields("_lot").alias("first"))
+    firsts = firsts.select(F.col("image").alias("first_image"), "draw", "first")
     firsts = firsts.withColumn("first_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int")).withColumn("box", F.struct(*box))
     pairs = salted.join(firsts, F.col("image").eqNullSafe(F.col("first_image")) & (F.col("salt") == F.col("first_salt")))
     pairs = pairs.where(usable_pair(F.col("first"), F.col("box"), gap))
-    best = pairs.groupBy("image", "draw", "first").agg(F.min(F.struct(chance(F.col("draw").cast("string"), "second").alias("_lot"), *box)).alias("second"))
-    named = lambda x: F.struct(*[x[t].alias(c) for t, c in zip(tied, ties)], *[x[c].alias(c) for c in ("class_name", *corners) if c not in ties])
-    return best.select(F.col("image").alias(image), "draw", named(F.col("first")).alias("first"), named(F.col("second")).alias("second"))
+    return pairs.groupBy("image", "draw", "first").agg(F.min(second(own_row, F.col("draw"))).alias("second"))
 
 
 def _folded(boxes: DataFrame, most: float, image: str, ties: tuple[str, ...]) -> DataFrame:
