@@ -148,19 +148,31 @@ def _near(rows: DataFrame, gap: float, cell: float) -> DataFrame:
     return a.join(b, meet & once & (x["class_name"] != y["class_name"]) & ~far_apart(x, y, gap)).select("image", "a", "b")
 
 
-def usable_pair_counts(boxes: DataFrame, image: str = "image_id", gap: float = MIN_GAP, cell: float = CELL) -> DataFrame:
+def usable_pair_counts(boxes: DataFrame, image: str = "image_id", gap: float = MIN_GAP, cell: float = CELL, fold_boxes: int = PAIR_BOXES) -> DataFrame:
     """O-17, O-18: (image, n): how many pairs of boxes of an image a two-object edit may take, without listing them.
 
-    All pairs of different classes, less those that are near each other. The former come from the numbers of each
-    class; the latter are found in cells. Boxes with a null corner or class are in no pair.
+    Images of up to fold_boxes boxes count in a row each, after one shuffle. In larger ones it is all pairs of different classes,
+    from the numbers of each class, less those that are near each other, found in cells. Boxes with a null corner or class
+    are in no pair.
     """
     whole = _boxes(boxes, image)
+    few, many = _by_size(whole, "image", fold_boxes)
+    arrays = few.groupBy("image").agg(F.collect_list(F.struct("class_name", "x1", "y1", "x2", "y2")).alias("boxes"))
+    behind = F.transform("boxes", lambda x, i: F.size(F.filter("boxes", lambda y, j: (j > i) & usable_pair(x, y, gap))))
+    out = arrays.select("image", F.aggregate(behind, F.lit(0).cast("long"), lambda n, k: n + k).alias("n"))
+    if many is not None:
+        out = out.unionByName(_spread_counts(many, gap, cell))
+    return out.withColumnRenamed("image", image)
+
+
+def _spread_counts(whole: DataFrame, gap: float, cell: float) -> DataFrame:
+    """usable_pair_counts() for images of any number of boxes."""
     n = whole.groupBy("image", "class_name").agg(F.count("*").alias("n"))
     of = n.groupBy("image").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("long").alias("pairs"))
     near = _near(whole.withColumn("uid", F.monotonically_increasing_id()), gap, cell)
     near = near.groupBy(F.col("image").alias("near_image")).agg(F.count("*").alias("near"))
     out = of.join(near, of["image"].eqNullSafe(near["near_image"]), "left")
-    return out.select(F.col("image").alias(image), (F.col("pairs") - F.coalesce("near", F.lit(0))).alias("n"))
+    return out.select("image", (F.col("pairs") - F.coalesce("near", F.lit(0))).alias("n"))
 
 
 def drawn_pairs(

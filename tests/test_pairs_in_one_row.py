@@ -39,3 +39,12 @@ def test_draws_of_few_boxes_are_not_spread(spark, boxes, checkpoints):
     assert len(got) > 100
     assert got == sorted(map(str, detect.drawn_pairs(boxes, n=3, seed=5, fold_boxes=0).collect()))
     assert got == sorted(map(str, detect.drawn_pairs(boxes, n=3, seed=5, fold_boxes=20).collect()))
+
+
+def test_counts_of_few_boxes_are_not_spread(spark, boxes, checkpoints):
+    counts = detect.usable_pair_counts(boxes)
+    assert sum(checkpoints) == 0 and joins(counts) == 0
+    got = sorted(map(str, counts.collect()))
+    assert len(got) > 60
+    assert got == sorted(map(str, detect.usable_pair_counts(boxes, fold_boxes=0).collect()))
+    assert got == sorted(map(str, detect.usable_pair_counts(boxes, fold_boxes=20).collect()))
