@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
-from .fertility import MAX_REPEATED_PERCENT, MIN_WORDS, measures
+from .fertility import MAX_REPEATED_PERCENT, MIN_WORDS, base_measures
 from .secrets import op2_secrets
 
 #: Fixed values of the contract: kind, pattern, group whose length counts, and its least length, in the order of kinds.
@@ -27,7 +27,7 @@ def q_secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rule_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measures(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return base_measures(table(spark, sf_dir, "documents"))
 
 
 def _secret_sql() -> str:

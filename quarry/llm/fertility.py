@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 from collections import Counter
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -64,10 +65,8 @@ RARE_ENTROPY = 2.5
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 CACHED_WORDS = 300_000
-KIND = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean,"
-    " script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double"
-)
+BASE_KIND = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
+KIND = f"{BASE_KIND}, script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double"
 
 
 class Vocabularies:
@@ -145,11 +144,23 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def base_measure(text: str, words: list[bytes]) -> dict:
+    """What the rules before the bands need of a text with these words; no vocabulary."""
+    n, repeated = len(words), repeated_words(words)
+    return {
+        "n_words": n,
+        "word_chars": len(text) - sum(text.count(c) for c in SPACES),
+        "n_symbols": sum(text.count(c) for c in SYMBOLS),
+        "n_dup_lines": duplicate_lines(text),
+        "n_repeat_words": repeated,
+        "base_failed": n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n,
+    }
+
+
 def measure(text: str, known: Vocabularies) -> dict:
     words = text.encode().split()
-    n = len(words)
-    chars = len(text) - sum(text.count(c) for c in SPACES)
-    repeated = repeated_words(words)
+    base = base_measure(text, words)
+    chars = base["word_chars"]
     counts = {w.decode(): c for w, c in Counter(words).items()}
     tokens = known.of(counts)
     found = [(c, *tokens[w]) for w, c in counts.items()]
@@ -159,12 +170,7 @@ def measure(text: str, known: Vocabularies) -> dict:
     total = int(times.sum())
     share = np.bincount(np.unique(ids, return_inverse=True)[1], times) / max(1, total)
     return {
-        "n_words": n,
-        "word_chars": chars,
-        "n_symbols": sum(text.count(c) for c in SYMBOLS),
-        "n_dup_lines": duplicate_lines(text),
-        "n_repeat_words": repeated,
-        "base_failed": n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n,
+        **base,
         "script": main_script(text),
         "n_tokens": byte_level,
         "chars_per_token": chars / byte_level if byte_level else 0.0,
@@ -177,15 +183,30 @@ def measures(docs: DataFrame, ranks: str | None = None, pieces: str | None = Non
     """One row of measures for each row of docs(doc_id, text). ranks and pieces are files of the two vocabularies."""
     paths = ranks or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pieces or public_tokenizers.path("piece_bpe_32k.model")
 
-    def run(batches):
+    def of_texts():
         known = vocabularies(*paths)
+        return lambda text: measure(text, known)
+
+    return _by_text(docs, of_texts, KIND)
+
+
+def base_measures(docs: DataFrame) -> DataFrame:
+    """The columns of measures() up to base_failed, for which no text is encoded."""
+    return _by_text(docs, lambda: lambda text: base_measure(text, text.encode().split()), BASE_KIND)
+
+
+def _by_text(docs: DataFrame, begin: Callable[[], Callable[[str], dict]], kind: str) -> DataFrame:
+    """doc_id and what the function that begin gives in each task makes of the text."""
+
+    def run(batches):
+        of = begin()
         for b in batches:
-            rows = [measure(t.as_py() or "", known) for t in b.column(1)]
+            rows = [of(t.as_py() or "") for t in b.column(1)]
             columns = {k: [r[k] for r in rows] for k in rows[0]} if rows else {}
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), **columns})
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KIND}")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {kind}")
 
 
 def size_class() -> Column:
