@@ -21,10 +21,10 @@ ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import public_tokenizers
@@ -53,6 +53,10 @@ RANGES = (
     (0xFF00, None), (0xFF21, "latin"), (0xFF3B, None), (0xFF41, "latin"), (0xFF5B, None), (0xFF66, "kana"), (0xFFA0, "hangul"), (0xFFE0, None),
     (0x10000, "other"), (0x20000, "cjk"), (0x32000, "other"),
 )
+#: The place in SCRIPTS of every code point's script, behind the last one if it has none.
+SCRIPT_OF = np.repeat(
+    np.array([SCRIPTS.index(s) if s else len(SCRIPTS) for _, s in RANGES], np.uint8), np.diff([*(a for a, _ in RANGES), 0x110000])
+)
 #: Texts from which a size or a script has a band of its own.
 LEAST_TEXTS = 30
 #: Where a script has fewer: least characters per token, and greatest share of byte tokens, about three quarters and 0.3 above
@@ -63,14 +67,26 @@ RARE = {
 }
 RARE_ENTROPY = 2.5
 SYMBOLS = "#*$%&|<>"
+#: An odd number; sums of words by its powers tell most texts without a repeated window.
+MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACES = " \t\n\x0b\x0c\r"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 BASE_KIND = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 KIND = f"{BASE_KIND}, script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double"
 
 
+def numbers() -> defaultdict[bytes, int]:
+    """Gives words numbers from 0 on as they come."""
+    return defaultdict(count().__next__)
+
+
 class Vocabularies:
-    """Tokens of words under a byte-level vocabulary of ranks and under one with byte fallback, with a bounded cache."""
+    """Tokens of words under a byte-level vocabulary of ranks and under one with byte fallback, with a bounded cache.
+
+    Words have numbers; by number, sizes is how many byte-level tokens a word has, n_pieces and n_bytes how many pieces and
+    how many byte tokens among them, and the ids of its pieces are in ids from starts on. The cache forgets first what
+    a single text has had, as most words that are spelt once are never met again.
+    """
 
     def __init__(self, ranks_path: str, pieces_path: str):
         import sentencepiece
@@ -81,21 +97,63 @@ class Vocabularies:
         self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
-        self.cache: dict[str, tuple[int, list[int]]] = {}
-
-    def of(self, words) -> dict[str, tuple[int, list[int]]]:
-        """For each of the distinct words: the number of its byte-level tokens, and the ids of its pieces."""
-        cache = self.cache
-        missing = list(set(words).difference(cache))
-        if len(cache) + len(missing) > CACHED_WORDS:
-            cache.clear()
-            missing = list(words)
+        self.names, self.n_ids = numbers(), 0
+        self.sizes, self.n_pieces, self.n_bytes, self.starts, self.used = (np.zeros(1024, np.int64) for _ in range(5))
+        self.ids = np.zeros(4096, np.int32)
+
+    def _forget(self) -> None:
+        """Keep the words that two texts or more have had since the last time; none if these are more than half."""
+        kept = np.flatnonzero(self.used[: len(self.names)] > 1)
+        kept = kept if kept.size <= CACHED_WORDS // 2 else kept[:0]
+        words, self.names = list(self.names), numbers()
+        for k in kept.tolist():
+            self.names[words[k]]
+        self.ids = self.ids_of(kept)
+        self.n_ids, self.used = self.ids.size, np.zeros(kept.size, np.int64)
+        self.sizes, self.n_pieces, self.n_bytes = self.sizes[kept], self.n_pieces[kept], self.n_bytes[kept]
+        self.starts = np.cumsum(self.n_pieces) - self.n_pieces
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The number of each of the words, good until the next call."""
+        if len(self.names) > CACHED_WORDS:
+            self._forget()
+        known = len(self.names)
+        found = np.fromiter(map(self.names.__getitem__, words), np.int64, len(words))
+        new = [w.decode() for w in islice(reversed(self.names), len(self.names) - known)][::-1]
+        for at in range(0, len(new), 10_000):
+            self._add(new[at : at + 10_000], known + at)
+        self.used[found] += 1  # once for each word
+        return found
+
+    def _add(self, words: list[str], first: int) -> None:
         encode = self.ranks.encode_ordinary
-        for at in range(0, len(missing), 10_000):
-            part = missing[at : at + 10_000]
-            for w, ids in zip(part, self.pieces.encode(part, num_threads=1)):
-                cache[w] = len(encode(f" {w}")), ids
-        return cache
+        pieces = self.pieces.encode(words, num_threads=1)
+        ids = np.fromiter(chain.from_iterable(pieces), np.int32)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(words))
+        ends = np.cumsum(lengths)
+        in_bytes = np.concatenate([[0], np.cumsum(self.is_byte[ids])])
+        self.sizes = _put(self.sizes, first, np.fromiter([len(encode(f" {w}")) for w in words], np.int64, len(words)))
+        self.n_pieces = _put(self.n_pieces, first, lengths)
+        self.n_bytes = _put(self.n_bytes, first, in_bytes[ends] - in_bytes[ends - lengths])
+        self.starts = _put(self.starts, first, self.n_ids + ends - lengths)
+        self.used = _put(self.used, first, np.zeros(len(words), np.int64))
+        self.ids = _put(self.ids, self.n_ids, ids)
+        self.n_ids += ids.size
+
+    def ids_of(self, found: np.ndarray) -> np.ndarray:
+        """The ids of the pieces of the words with these numbers, one word after the other."""
+        lengths = self.n_pieces[found]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if ends.size else 0
+        return self.ids[np.arange(total) + np.repeat(self.starts[found] - ends + lengths, lengths)]
+
+
+def _put(into: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """into with values from at on; room for more is made by doubling."""
+    if at + values.size > into.size:
+        into = np.concatenate([into, np.zeros(max(into.size, values.size), into.dtype)])
+    into[at : at + values.size] = values
+    return into
 
 
 @lru_cache(maxsize=2)
@@ -108,31 +166,31 @@ def main_script(text: str) -> str:
     if text.isascii():
         return "latin" if any(c.isalpha() for c in text) else "other"
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    per_range = np.bincount(np.searchsorted([a for a, _ in RANGES], points, side="right") - 1, minlength=len(RANGES))
-    counts = {s: sum(int(n) for (_, t), n in zip(RANGES, per_range) if t == s) for s in SCRIPTS}
-    best = max(counts, key=counts.get)
-    return best if counts[best] else "other"
+    counts = np.bincount(SCRIPT_OF[points], minlength=len(SCRIPTS))[: len(SCRIPTS)]
+    return SCRIPTS[int(counts.argmax())] if counts.any() else "other"
 
 
-def repeated_words(words: list[bytes], width: int = 8) -> int:
-    """Words that lie in a window of width words found twice or more in the text."""
-    n = len(words) - width + 1
+def repeated_words(rank: np.ndarray, width: int = 8) -> int:
+    """Words, given by equal numbers for equal ones, that lie in a window of width words found twice or more in the text."""
+    words, n = rank.size, rank.size - width + 1
     if n < 2:
         return 0
-    names: dict[bytes, int] = {}
-    rank = np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64, len(words))
-    if len(names) == len(words):
+    mixed = np.zeros(n, np.uint64)
+    for k in range(width):
+        mixed = mixed * MIX + rank[k : k + n].astype(np.uint64)
+    mixed.sort()
+    if not (mixed[1:] == mixed[:-1]).any():  # equal windows would have equal sums
         return 0
     span = 1
     while span < width:  # ranks of longer and longer windows, from the ranks of two that cover them
         step = min(span, width - span)
-        left, right = rank[: len(words) - span - step + 1], rank[step:]
+        left, right = rank[: words - span - step + 1], rank[step:]
         span += step
-        values, rank = np.unique(left * len(words) + right[: left.size], return_inverse=True)
+        values, rank = np.unique(left * (int(rank.max()) + 1) + right[: left.size], return_inverse=True)
         if values.size == rank.size:
             return 0
     twice = np.bincount(rank)[rank] > 1
-    edge = np.zeros(len(words) + 1, np.int64)
+    edge = np.zeros(words + 1, np.int64)
     edge[:n] += twice
     edge[width : width + n] -= twice
     return int(np.count_nonzero(np.cumsum(edge)[:-1]))
@@ -144,9 +202,9 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def base_measure(text: str, words: list[bytes]) -> dict:
-    """What the rules before the bands need of a text with these words; no vocabulary."""
-    n, repeated = len(words), repeated_words(words)
+def base_measure(text: str, words: np.ndarray) -> dict:
+    """What the rules before the bands need of a text whose words have these numbers; no vocabulary."""
+    n, repeated = words.size, repeated_words(words)
     return {
         "n_words": n,
         "word_chars": len(text) - sum(text.count(c) for c in SPACES),
@@ -158,23 +216,17 @@ def base_measure(text: str, words: list[bytes]) -> dict:
 
 
 def measure(text: str, known: Vocabularies) -> dict:
-    words = text.encode().split()
+    words = known.of(text.encode().split())
     base = base_measure(text, words)
-    chars = base["word_chars"]
-    counts = {w.decode(): c for w, c in Counter(words).items()}
-    tokens = known.of(counts)
-    found = [(c, *tokens[w]) for w, c in counts.items()]
-    byte_level = sum([c * size for c, size, _ in found])
-    ids = np.fromiter(chain.from_iterable(pieces for _, _, pieces in found), np.int32)
-    times = np.repeat(np.array([c for c, _, _ in found], np.int64), np.array([len(p) for _, _, p in found], np.int64))
-    total = int(times.sum())
-    share = np.bincount(np.unique(ids, return_inverse=True)[1], times) / max(1, total)
+    ids, byte_level = known.ids_of(words), int(known.sizes[words].sum())
+    times = np.bincount(ids)
+    share = times[times > 0] / max(1, ids.size)
     return {
         **base,
         "script": main_script(text),
         "n_tokens": byte_level,
-        "chars_per_token": chars / byte_level if byte_level else 0.0,
-        "byte_share": float(times[known.is_byte[ids]].sum()) / total if total else 0.0,
+        "chars_per_token": base["word_chars"] / byte_level if byte_level else 0.0,
+        "byte_share": int(known.n_bytes[words].sum()) / ids.size if ids.size else 0.0,
         "token_entropy": max(0.0, float(-(share * np.log2(share)).sum())),
     }
 
@@ -192,7 +244,12 @@ def measures(docs: DataFrame, ranks: str | None = None, pieces: str | None = Non
 
 def base_measures(docs: DataFrame) -> DataFrame:
     """The columns of measures() up to base_failed, for which no text is encoded."""
-    return _by_text(docs, lambda: lambda text: base_measure(text, text.encode().split()), BASE_KIND)
+
+    def of_text(text: str) -> dict:
+        words = text.encode().split()
+        return base_measure(text, np.fromiter(map(numbers().__getitem__, words), np.int64, len(words)))
+
+    return _by_text(docs, lambda: of_text, BASE_KIND)
 
 
 def _by_text(docs: DataFrame, begin: Callable[[], Callable[[str], dict]], kind: str) -> DataFrame:
