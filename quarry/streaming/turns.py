@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from quarry.operators.partition import written
@@ -19,32 +16,9 @@ from quarry.operators.tasks import TURNS, ready_turn
 RESULT = "task_id string, turn long, driver string, source string, last boolean, failed boolean"
 
 
-def _advance(attempts: int):
-    """One task's events to the state that it is in, each time that this lets a turn begin or be tried again."""
-
-    def step(key, batches, state):
-        kept = json.loads(state.get[0]) if state.exists else {"operations": None, "done": [], "failed": {}, "ended": False}
-        before = json.dumps(kept)
-        for rows in batches:
-            for r in rows.itertuples(index=False):
-                if r.operations is not None and kept["operations"] is None:
-                    kept["operations"] = json.loads(r.operations)
-                if pd.isna(r.turn):
-                    continue
-                turn = int(r.turn)
-                if r.failed:
-                    kept["failed"][str(turn)] = kept["failed"].get(str(turn), 0) + 1
-                elif turn not in kept["done"]:
-                    kept["done"] = sorted([*kept["done"], turn])
-                    kept["ended"] = kept["ended"] or bool(r.last)
-        tired = [int(t) for t, n in kept["failed"].items() if n >= attempts and int(t) not in kept["done"]]
-        changed = json.dumps(kept) != before
-        if changed:
-            state.update((json.dumps(kept),))
-        if changed and kept["operations"] is not None and not kept["ended"] and not tired:
-            yield pd.DataFrame({"task_id": [key[0]], "operations": [json.dumps(kept["operations"])], "done": [json.dumps(kept["done"])]})
-
-    return step
+def _tired(failed: Column, done: Column, attempts: int) -> Column:
+    """Whether a turn without a result has failed attempts times; failed holds a turn once for each failure."""
+    return F.exists(F.array_distinct(failed), lambda t: ~F.array_contains(done, t) & (F.size(F.filter(failed, lambda x: x == t)) >= attempts))
 
 
 def follow_turns(
@@ -64,9 +38,10 @@ def follow_turns(
     rows that it leaves out have failed, and are asked anew until they failed attempts times. Results are Parquet in sink,
     a folder for each batch that is overwritten when the batch is repeated, so that a lost driver makes no turn twice in the sink.
     The stream reads that folder too: a result is the event that lets its task go on. Its rows are (task_id, turn, driver, source,
-    last, failed, columns of made, batch). Each task's state is its operations, the turns that have a result, and failures by turn. A task whose
-    id came before keeps its first operations; tasks without an id are left out. A task whose turn failed for good stays where it is.
-    processAllAvailable() waits until no task can go on.
+    last, failed, columns of made, batch). Each task's state is its row, the turns that have a result, and those that failed: a streaming
+    aggregate, so batches read no task again. Let large rows be kept on disk, by Spark's RocksDB state store. Of rows with the same
+    id and operations that are not null the one of the earliest batch counts, the first as JSON if one batch brings several; tasks
+    without an id are left out. A task whose turn failed for good stays where it is. processAllAvailable() waits until no task can go on.
     """
     drivers = drivers or sorted({t.driver for t in TURNS})
     made = StructType.fromDDL(made) if isinstance(made, str) else made
@@ -74,22 +49,24 @@ def follow_turns(
     spark.createDataFrame([], kind).write.mode("append").parquet(f"{sink}/batch=-1")
     tasks = spark.readStream.schema(schema).parquet(source).where("task_id IS NOT NULL")
     results = spark.readStream.schema(StructType([*kind.fields]).add("batch", "long")).parquet(sink)
-    came = tasks.select("task_id", F.to_json("operations").alias("operations"), F.lit(None).cast("long").alias("turn"), F.lit(None).cast("boolean").alias("last"), F.lit(None).cast("boolean").alias("failed"))
-    events = came.unionByName(results.select("task_id", F.lit(None).cast("string").alias("operations"), "turn", "last", "failed"))
-    states = events.groupBy("task_id").applyInPandasWithState(
-        _advance(attempts), "task_id string, operations string, done string", "kept string", "append", GroupStateTimeout.NoTimeout
+    row = F.struct(*tasks.columns)
+    came = tasks.select("task_id", row.alias("task"), F.when(F.col("operations").isNotNull(), F.struct(F.current_timestamp().alias("at"), F.to_json(row).alias("text"))).alias("order"))
+    made_or_not = results.select("task_id", F.when(~F.col("failed"), F.col("turn")).alias("good"), F.when(F.col("failed"), F.col("turn")).alias("bad"), (F.col("last") & ~F.col("failed")).alias("ends"))
+    states = (
+        came.unionByName(made_or_not, allowMissingColumns=True)
+        .groupBy("task_id")
+        .agg(F.min_by("task", "order").alias("task"), F.collect_set("good").alias("done"), F.collect_list("bad").alias("failed"), F.bool_or("ends").alias("ended"))
     )
 
-    def run(ready: DataFrame, batch: int) -> None:
-        lists = ready.select("task_id", F.from_json("operations", "array<string>").alias("_operations"), F.from_json("done", "array<long>").alias("_done"))
-        steps = written(lists.select("task_id", ready_turn(F.col("_operations"), F.col("_done"), drivers, new=True).alias("next")).where("next IS NOT NULL"))
-        if steps.isEmpty():
+    def run(changed: DataFrame, batch: int) -> None:
+        able = changed.where(F.col("task").isNotNull() & ~F.coalesce("ended", F.lit(False)) & ~_tired(F.col("failed"), F.col("done"), attempts))
+        todo = written(able.select("task.*", ready_turn(F.col("task.operations"), F.col("done"), drivers, new=True).alias("next")).where("next IS NOT NULL"))
+        if todo.isEmpty():
             return
-        known = ready.sparkSession.read.schema(schema).parquet(source).where("task_id IS NOT NULL").dropDuplicates(["task_id"])
         folder, step = f"{sink}/batch={batch}", [F.col(f"next.{c}").alias(c) for c in ("turn", "driver", "source", "last")]
-        done = edit(known.join(steps, "task_id")).select("task_id", *step, F.lit(False).alias("failed"), *made.fieldNames())
+        done = edit(todo).select("task_id", *step, F.lit(False).alias("failed"), *made.fieldNames())
         done.write.mode("overwrite").parquet(folder)  # read back, so that no edit is made twice
-        lost = steps.join(ready.sparkSession.read.schema(kind).parquet(folder).select("task_id"), "task_id", "left_anti")
+        lost = todo.join(changed.sparkSession.read.schema(kind).parquet(folder).select("task_id"), "task_id", "left_anti")
         lost.select("task_id", *step, F.lit(True).alias("failed")).write.mode("append").parquet(folder)
 
-    return states.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).start()
+    return states.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint).start()

@@ -140,3 +140,24 @@ def test_stream_of_turns_equals_the_loop(spark, tmp_path):
     assert found == sorted((r.task_id, r.turn, r.driver, r.source, r.last, r.image) for r in plain.collect()) and found
     assert rows.where("failed AND task_id = 'c1'").count() == 3 and rows.where("failed AND task_id = 'c2'").count() == 2
     assert len(calls) == len(found) + 5  # no turn is made twice
+
+
+def test_stream_of_turns_starts_no_python_and_keeps_first_rows(spark, tmp_path):
+    """A task that comes again is neither run again nor changed; one without operations waits for those that come later."""
+    kind, calls = "task_id string, operations array<string>, path string", []
+
+    def edit(df):
+        calls.extend((r.task_id, r.next.turn, r.path) for r in df.collect())
+        return df.withColumn("image", F.concat("path", F.lit("-"), F.col("next.turn")))
+
+    lots = [[("a", ["add", "add"], "a0"), ("b", None, "b0"), (None, ["add"], "n")], [("a", ["remove", "remove"], "a1"), ("b", ["adjust", "remove"], "b1")], [("a", ["add", "add"], "A"), ("b", ["add", "add"], "B")]]
+    for lot in lots:
+        spark.createDataFrame(lot, kind).write.mode("append").parquet(f"{tmp_path}/tasks")
+        stream = follow_turns(spark, f"{tmp_path}/tasks", kind, f"{tmp_path}/out", edit, "image string", f"{tmp_path}/state", ["compose_add", "compose_remove", "compose_adjust"])
+        stream.processAllAvailable()
+        plan = stream._jsq.explainInternal(True)
+        stream.stop()
+        assert "StateStoreSave" in plan and "Pandas" not in plan
+    assert sorted(calls) == [("a", 0, "a0"), ("a", 1, "a0"), ("b", 0, "b1"), ("b", 1, "b1")]
+    found = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted((r.task_id, r.turn, r.image) for r in found.collect()) == [("a", 0, "a0-0"), ("a", 1, "a0-1"), ("b", 0, "b1-0"), ("b", 1, "b1-1")]
