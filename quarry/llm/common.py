@@ -82,17 +82,23 @@ def _forget(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, most_bytes: int):
-    """Inside, rows go to Python in batches of so many bytes, for tables with large rows that are materialised there."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+def setting(spark: SparkSession, name: str, value: object):
+    """Inside, Spark has this setting; for tables that are materialised there."""
     before = spark.conf.get(name, None)
-    spark.conf.set(name, str(most_bytes))
+    spark.conf.set(name, str(value))
     try:
         yield
     finally:
         spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most_bytes: int):
+    """Inside, rows go to Python in batches of so many bytes, for tables with large rows that are materialised there."""
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", most_bytes):
+        yield
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and a lost executor costs nothing."""
     path = new_path(df.sparkSession, name)
